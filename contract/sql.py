@@ -465,13 +465,13 @@ _add(
     "q9_constraint_audit",
     "tx segments scores history",
     f"""{_NOT_NULL}
-        UNION ALL SELECT 'transactions.id unique', count(*)
+        UNION ALL SELECT 'transactions id unique', count(*)
             FROM (SELECT id FROM tx GROUP BY id HAVING count(*) > 1)
-        UNION ALL SELECT 'transaction_anomalies.transaction_id unique', count(*)
+        UNION ALL SELECT 'transaction_anomalies transaction_id unique', count(*)
             FROM (SELECT 1 FROM scores GROUP BY transaction_id HAVING count(*) > 1)
-        UNION ALL SELECT 'transaction_anomalies.transaction_id references transactions', count(*)
+        UNION ALL SELECT 'transaction_anomalies transaction_id references transactions', count(*)
             FROM scores ANTI JOIN tx ON id = transaction_id
-        UNION ALL SELECT 'customer_segments.customer_id unique', count(*)
+        UNION ALL SELECT 'customer_segments customer_id unique', count(*)
             FROM (SELECT 1 FROM segments GROUP BY customer_id HAVING count(*) > 1)
         UNION ALL SELECT 'narratives (type, key) unique', count(*)
             FROM (SELECT 1 FROM history GROUP BY upper(narrative_type), upper(reference_key)

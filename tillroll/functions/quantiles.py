@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,21 +11,40 @@ from pyspark.sql import functions as F
 _SKETCH_ACCURACY = 10_000
 
 
-def exact_quantile(df: DataFrame, column: str, q: float, max_rows: int = 1_000_000) -> float | None:
-    """The ``q``-quantile of ``column`` by linear interpolation; None for an empty column.
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], q: float, max_rows: int = 1_000_000
+) -> dict[str, float | None]:
+    """The ``q``-quantile of each column by linear interpolation; None for an empty column.
 
-    ``percentile`` and ``median`` keep every distinct value in one task. Here a mergeable sketch
-    finds two values that enclose the wanted rank, rows up to the lower one are only counted, and
-    the open interval between them is searched next, until it holds at most ``max_rows`` rows,
-    which one task can rank. Each pass leaves less than a thousandth of the rows, so a trillion
-    rows take three. Reads ``df`` twice per pass: hand in a stored table.
+    ``percentile`` keeps every distinct value in one task, so it serves up to ``max_rows`` rows.
+    Beyond that a mergeable sketch finds two values that enclose the wanted rank, rows up to the
+    lower one are only counted, and the open interval between them is searched next, until it is
+    small enough for one task to rank. Each pass leaves less than a thousandth of the rows, so a
+    trillion rows take three. Reads ``df`` twice per pass: hand in a stored table.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).filter(
-        F.col("v").isNotNull() & ~F.isnan("v")
+    columns = list(columns)
+    numbers = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
+    numbers = numbers.select(
+        *[F.when(~F.isnan(name), F.col(name)).alias(name) for name in columns]
     )
-    count = values.count()
-    if count == 0:
-        return None
+    counts = numbers.agg(*[F.count(name).alias(name) for name in columns]).first()
+    small = [name for name in columns if counts[name] <= max_rows]
+    out: dict[str, float | None] = {}
+    if small:
+        row = numbers.agg(*[F.percentile(name, q).alias(name) for name in small]).first()
+        out.update({name: row[name] for name in small})
+    for name in columns:
+        if name not in out:
+            values = numbers.select(F.col(name).alias("v")).filter(F.col("v").isNotNull())
+            out[name] = _large_quantile(values, q, counts[name], max_rows)
+    return out
+
+
+def exact_quantile(df: DataFrame, column: str, q: float, max_rows: int = 1_000_000) -> float | None:
+    return exact_quantiles(df, [column], q, max_rows)[column]
+
+
+def _large_quantile(values: DataFrame, q: float, count: int, max_rows: int) -> float:
     position = q * (count - 1)
     rank = math.floor(position)
     share = position - rank
@@ -75,7 +95,3 @@ def _order_statistics(
                 found[rank] = right
         bracket, inside, below = bracket.filter(between), inner, first + at_left
     return found
-
-
-def exact_median(df: DataFrame, column: str, max_rows: int = 1_000_000) -> float | None:
-    return exact_quantile(df, column, 0.5, max_rows)

@@ -155,17 +155,17 @@ def constraint_audit(
         .groupBy("id")
         .agg(F.sum("fact").alias("facts"), F.sum("score").alias("scores"))
         .agg(
-            F.count_if(F.col("facts") > 1).alias("transactions.id unique"),
-            F.count_if(F.col("scores") > 1).alias("transaction_anomalies.transaction_id unique"),
+            F.count_if(F.col("facts") > 1).alias("transactions id unique"),
+            F.count_if(F.col("scores") > 1).alias("transaction_anomalies transaction_id unique"),
             F.coalesce(F.sum(F.when(F.col("facts") == 0, F.col("scores"))), F.lit(0)).alias(
-                "transaction_anomalies.transaction_id references transactions"
+                "transaction_anomalies transaction_id references transactions"
             ),
         )
     )
     customers = (
         segments.groupBy("customer_id")
         .count()
-        .agg(F.count_if(F.col("count") > 1).alias("customer_segments.customer_id unique"))
+        .agg(F.count_if(F.col("count") > 1).alias("customer_segments customer_id unique"))
     )
     keys = (
         narratives.groupBy(F.upper("narrative_type"), F.upper("reference_key"))

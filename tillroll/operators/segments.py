@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.measures import integer_mean, percent
-from tillroll.functions.quantiles import exact_median
+from tillroll.functions.quantiles import exact_quantiles
 
 MEASURES = ("recency_days", "frequency", "monetary")
 SEGMENT_COLUMNS = ("customer_id", *MEASURES, "cluster", "segment_name")
@@ -14,7 +14,7 @@ SEGMENT_COLUMNS = ("customer_id", *MEASURES, "cluster", "segment_name")
 
 def overall_medians(customers: DataFrame) -> DataFrame:
     """One row: the interpolated median of each measure over all customers."""
-    medians = {name: exact_median(customers, name) for name in MEASURES}
+    medians = exact_quantiles(customers, MEASURES, 0.5)
     columns = [F.lit(value).cast("double").alias(name) for name, value in medians.items()]
     return customers.sparkSession.range(1).select(*columns)
 
@@ -38,7 +38,8 @@ def _segment_name(recent: Column, frequent: Column, high: Column) -> Column:
 
 def cluster_names(customers: DataFrame) -> DataFrame:
     """(cluster, segment_name): each cluster's means against the medians of all customers."""
-    middle = {name: F.lit(exact_median(customers, name)) for name in MEASURES}
+    medians = exact_quantiles(customers, MEASURES, 0.5)
+    middle = {name: F.lit(value) for name, value in medians.items()}
     means = cluster_means(customers)
     return means.select(
         "cluster",
