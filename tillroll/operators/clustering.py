@@ -36,7 +36,7 @@ def feature_vectors(
 
 
 def best_of_starts(
-    vectors: DataFrame, k: int, starts: int = 10, seed: int = 42, parallelism: int = 4
+    vectors: DataFrame, k: int, starts: int = 10, seed: int = 42, parallelism: int = 8
 ) -> KMeansModel:
     """Fit from several starts and keep the cheapest. Cache ``vectors`` first: fits are iterative.
 
@@ -189,7 +189,11 @@ def euclidean_silhouette(
     fields = features.select(key, label).schema
     out = f"{key} {fields[key].dataType.simpleString()}, "
     out += f"{label} {fields[label].dataType.simpleString()}, silhouette double"
-    return features.select(key, label, *names).mapInPandas(score, out)
+    # The work per row is large, so rows are spread over all cores first, however few files hold
+    # them.
+    cores = features.sparkSession.sparkContext.defaultParallelism
+    spread = features.select(key, label, *names).repartition(cores, key)
+    return spread.mapInPandas(score, out)
 
 
 def _distance_sums(here: np.ndarray, there: np.ndarray, block: int = 1024) -> np.ndarray:

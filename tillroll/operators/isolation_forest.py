@@ -99,8 +99,12 @@ def fit_forest(
             ["tree", "node", "feature", "threshold", "size", "bag_size"]
         ]
 
+    # All bags together are a few megabytes, which adaptive execution would leave to one task; a
+    # stated number of partitions lets the trees grow side by side.
+    tasks = min(trees, rows.sparkSession.sparkContext.defaultParallelism)
     return (
         draw_bags(rows, key, names, trees, bag_size, seed)
+        .repartition(tasks, "tree")
         .groupBy("tree")
         .applyInPandas(fit, NODES)
     )

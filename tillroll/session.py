@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("TILLROLL_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
