@@ -80,8 +80,7 @@ def _raw_file(spark: SparkSession, sf_dir: str) -> str:
     path = new_path(spark, "raw-invoices")
     (
         raw_invoices_of(spark, sf_dir)
-        .write.option("header", True)
-        .option("encoding", raw_invoices.SOURCE_ENCODING)
+        .write.options(header=True, escape='"', encoding=raw_invoices.SOURCE_ENCODING)
         .csv(path)
     )
     return path

@@ -39,6 +39,18 @@ def test_columns_are_found_by_name(spark, tmp_path):
     assert row.invoice_no == "489434" and row.country == "France" and row.quantity == 12
 
 
+def test_quotes_are_doubled_and_numbers_are_plain(spark, tmp_path):
+    path = write(
+        tmp_path,
+        '1,A,"12"" RULER, ""OAK""",5d,2009-12-01 07:45:00,1.0,0x1p3,UK',
+        '1,A,back\\slash,1e1,2009-12-01 07:45:00,1.0, 7 ,UK',
+    )
+    rows = typed(spark, path).collect()
+    assert rows[0].description == '12" RULER, "OAK"' and rows[1].description == "back\\slash"
+    assert [r.quantity for r in rows] == [None, 10]
+    assert [r.customer_id for r in rows] == [None, 7]
+
+
 def test_missing_column_is_an_error(spark, tmp_path):
     path = write(tmp_path, "1,2", header="Invoice,StockCode")
     with pytest.raises(ValueError, match="unit_price"):

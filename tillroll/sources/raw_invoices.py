@@ -35,6 +35,9 @@ MISSING_TEXTS = (
     "null",
 )
 
+# What counts as a number; the engine's own cast also takes Java spellings such as "5d".
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
 # Month-first dates with slashes, as spreadsheets write them; rewritten to year-month-day.
 _SLASH_DATE = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})"
 
@@ -45,8 +48,12 @@ def read_raw_csv(
     columns: Mapping[str, str] = SOURCE_COLUMNS,
     encoding: str = SOURCE_ENCODING,
 ) -> DataFrame:
-    """All columns as text, located by header name. Types come later, so no inference pass."""
-    raw = spark.read.option("header", True).option("encoding", encoding).csv(path)
+    """All columns as text, located by header name. Types come later, so no inference pass.
+
+    A quote inside a quoted text is doubled. Rows end at line ends, so that large files split.
+    """
+    options = {"header": True, "encoding": encoding, "escape": '"'}
+    raw = spark.read.options(**options).csv(path)
     return select_source_columns(raw, columns)
 
 
@@ -66,7 +73,7 @@ def _present(name: str) -> Column:
 
 
 def _number(name: str) -> Column:
-    return F.col(name).try_cast("double")
+    return F.when(F.col(name).rlike(_NUMBER), F.col(name)).try_cast("double")
 
 
 def _whole_number(name: str) -> Column:

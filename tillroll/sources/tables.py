@@ -65,4 +65,4 @@ def outside(df: DataFrame, start: str | date, end: str | date) -> DataFrame:
 def export_csv(df: DataFrame, path: str, files: int | None = None) -> None:
     """CSV with a header. ``files=1`` is for reports of a few rows; details stay partitioned."""
     out = df if files is None else df.coalesce(files)
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").options(header=True, escape='"').csv(path)
