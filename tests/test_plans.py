@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from contract.queries import _raw_file
+from tillroll.__main__ import main
 from tillroll.functions.flags import genuine_sale
 from tillroll.plans import anomaly_detection, exports, load, narration, segmentation
-from tillroll.schema import NARRATIVES
 from tillroll.session import new_path
 from tillroll.sources import tables
 
@@ -19,9 +19,9 @@ def run(spark, sf):
     out["segments"] = segmentation.build_segments(facts, new_path(spark, "segments"), starts=2)
     out["scores"] = anomaly_detection.build_scores(facts, new_path(spark, "scores"), trees=40)
     out["drafts"] = narration.drafts(facts, out["segments"], out["scores"])
-    empty = spark.createDataFrame([], NARRATIVES)
     now = F.lit("2026-01-01").cast("timestamp_ntz")
-    out["history"] = narration.save_drafts(empty, out["drafts"], now, new_path(spark, "texts"))
+    out["texts_path"] = new_path(spark, "texts")
+    out["history"] = narration.save_drafts(spark, out["drafts"], now, out["texts_path"])
     return out
 
 
@@ -66,8 +66,8 @@ def test_narratives(spark, run):
     assert kinds[-2:] == ["anomaly", "executive"] and set(kinds[:-2]) == {"segment"}
     one = narration.drafts(run["facts"], run["segments"], run["scores"], only="anomaly")
     now = F.lit("2026-02-02").cast("timestamp_ntz")
-    again = narration.save_drafts(run["history"], one, now, new_path(spark, "texts"))
-    assert again.count() == len(kinds)
+    again = narration.save_drafts(spark, one, now, run["texts_path"])
+    assert again.count() == len(kinds) == run["history"].count()
     assert again.filter(F.col("generated_at") == now).count() == 1
     with pytest.raises(ValueError):
         narration.drafts(run["facts"], run["segments"], run["scores"], only="executive")
@@ -87,3 +87,18 @@ def test_exports(spark, run):
     assert back("transaction_anomalies_top50").count() == 50
     assert back("customer_segments").count() == run["segments"].count()
     assert back("anomaly_detail").count() == run["scores"].filter("is_anomaly").count()
+
+
+def test_the_command_line_runs_every_step(spark, run, capsys):
+    root = new_path(spark, "warehouse")
+    main(["load", root, run["raw"]])
+    main(["summary", root])
+    main(["segment", root, "--starts", "1", "--sweep", "2", "3"])
+    main(["detect", root, "--trees", "10"])
+    main(["narrate", root])
+    main(["narrate", root, "segment"])
+    main(["export", root])
+    printed = capsys.readouterr().out
+    assert "rows_dropped" in printed and "stock_adjustments" in printed
+    assert "silhouette" in printed and "pct_anomalous" in printed and "executive" in printed
+    assert spark.read.csv(f"{root}/exports/top_products", header=True).count() == 20

@@ -147,7 +147,7 @@ def _packed(nodes: pd.DataFrame) -> dict[str, np.ndarray]:
     node = nodes["node"].to_numpy()
     depth = np.floor(np.log2(node + 1)).astype(int)
     shape = (len(trees), int(2 ** (depth.max() + 1) - 1))
-    feature = np.zeros(shape, dtype=np.int32)
+    feature = np.zeros(shape, dtype=np.int64)
     # A leaf's threshold is infinite and never passed: rows stay in its left-most descendant,
     # whose depth and size are those of the leaf.
     threshold = np.full(shape, np.inf)
@@ -172,14 +172,23 @@ def _packed(nodes: pd.DataFrame) -> dict[str, np.ndarray]:
 
 
 def _mean_path(forest: dict[str, np.ndarray], points: np.ndarray) -> np.ndarray:
-    """Mean path length of each point, trees added in fixed order."""
-    rows = np.arange(len(points))
-    total = np.zeros(len(points))
-    for feature, threshold, path in zip(forest["feature"], forest["threshold"], forest["path"]):
-        node = np.zeros(len(points), dtype=np.int64)
+    """Mean path length of each point, trees added in fixed order.
+
+    All points step down a tree together: flat gathers, with columns laid end to end.
+    """
+    count = len(points)
+    columns = np.ascontiguousarray(points.T).ravel()
+    rows = np.arange(count)
+    total = np.zeros(count)
+    starts = forest["feature"] * count
+    for start, threshold, path in zip(starts, forest["threshold"], forest["path"]):
+        node = np.zeros(count, dtype=np.int64)
         for _ in range(forest["levels"]):
-            node = 2 * node + 1 + (points[rows, feature[node]] > threshold[node])
-        total += path[node]
+            right = columns.take(start.take(node) + rows) > threshold.take(node)
+            node *= 2
+            node += 1
+            node += right
+        total += path.take(node)
     return total / len(forest["feature"])
 
 

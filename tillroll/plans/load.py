@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,12 +11,9 @@ from tillroll.sources import raw_invoices, tables
 
 def last_id(spark: SparkSession, facts_path: str) -> int:
     """Highest id in the fact table, 0 where there is no table yet."""
-    try:
-        return tables.read_table(spark, facts_path).agg(F.max("id")).first()[0] or 0
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not tables.table_exists(spark, facts_path):
         return 0
+    return tables.read_table(spark, facts_path).agg(F.max("id")).first()[0] or 0
 
 
 def load_invoices(spark: SparkSession, raw_path: str, facts_path: str) -> DataFrame:

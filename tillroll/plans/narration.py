@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tillroll.operators import anomalies, narratives, segments
-from tillroll.sources.tables import read_table, replace_table
+from tillroll.schema import NARRATIVES
+from tillroll.sources import tables
 
 
 def drafts(
@@ -30,9 +31,8 @@ def drafts(
     return out
 
 
-def save_drafts(
-    history: DataFrame, drafted: DataFrame, now: Column, new_history_path: str
-) -> DataFrame:
-    """Upsert into a new copy of the history; the old one is left as it is."""
-    replace_table(narratives.upsert(history, drafted, now), new_history_path)
-    return read_table(history.sparkSession, new_history_path)
+def save_drafts(spark: SparkSession, drafted: DataFrame, now: Column, path: str) -> DataFrame:
+    """Upsert into the stored history and return its new state."""
+    history = tables.read_last_version(spark, path, NARRATIVES)
+    tables.append_version(narratives.upsert(history, drafted, now), path)
+    return tables.read_last_version(spark, path, NARRATIVES)

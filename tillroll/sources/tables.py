@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 MONTH = "invoice_month"
+VERSION = "version"
 
 
 def append_facts(df: DataFrame, path: str) -> None:
@@ -34,6 +37,47 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        read_table(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return False
+    return True
+
+
+def _current_version(spark: SparkSession, path: str) -> int:
+    if not table_exists(spark, path):
+        return 0
+    return read_table(spark, path).agg(F.max(VERSION)).first()[0] or 0
+
+
+def append_version(df: DataFrame, path: str) -> None:
+    """Save the next state of a table that is computed from its last one, beside the older ones.
+
+    Nothing is overwritten, so ``df`` may read from ``path``, and a failed write leaves the last
+    state in force.
+    """
+    version = _current_version(df.sparkSession, path) + 1
+    (
+        df.withColumn(VERSION, F.lit(version))
+        .write.mode("append")
+        .partitionBy(VERSION)
+        .parquet(path)
+    )
+
+
+def read_last_version(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The state saved last; no rows where nothing has been saved yet."""
+    version = _current_version(spark, path)
+    if version == 0:
+        return spark.createDataFrame([], schema)
+    versions = StructType(list(schema.fields)).add(VERSION, IntegerType())
+    saved = spark.read.schema(versions).parquet(path)
+    return saved.filter(F.col(VERSION) == version).drop(VERSION)
+
+
 def _moment(value: str | date | datetime) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 
