@@ -55,6 +55,9 @@ def raw_invoices_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The facts as a careless export would write them: all text, some of it unusable."""
     row = F.abs("id")
     moment = F.col("invoice_date")
+    slashed = F.format_string(
+        "%d/%d/%d %d:%02d", *[part(moment) for part in (F.month, F.day, F.year, F.hour, F.minute)]
+    )
     quantity = F.col("quantity").cast("string")
     return testtables.facts(spark, sf_dir).select(
         F.when(row % 1009 != 5, F.col("invoice_no")).alias("Invoice"),
@@ -65,8 +68,8 @@ def raw_invoices_of(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(quantity)
         .alias("Quantity"),
         F.when(row % 307 == 2, F.lit("not a date"))
-        .when(row % 311 == 4, F.date_format(moment, "M/d/yyyy H:mm"))
-        .otherwise(F.date_format(moment, "yyyy-MM-dd HH:mm:ss"))
+        .when(row % 311 == 4, slashed)
+        .otherwise(moment.cast("string"))
         .alias("InvoiceDate"),
         F.when(row % 419 == 6, F.lit("free"))
         .otherwise(F.col("unit_price").cast("string"))

@@ -141,7 +141,7 @@ _TABLES = {
         FROM scores JOIN txf ON id = transaction_id
     """,
     "overview": """
-        SELECT count_if(is_anomaly) AS total_anomalies, count(*) AS total_scored,
+        SELECT CAST(count_if(is_anomaly) AS BIGINT) AS total_anomalies, count(*) AS total_scored,
                round(100.0 * CAST(count_if(is_anomaly) AS DOUBLE) / count(*), 2) AS pct_anomalous
         FROM scores
     """,
@@ -395,7 +395,7 @@ _PCT = "CASE WHEN n = 0 THEN NULL ELSE round_even(CAST(c AS DOUBLE) / n * 100, 2
 _add(
     "q1_cleaning_summary",
     "txf",
-    f"""SELECT metric, c AS count,
+    f"""SELECT metric, CAST(c AS BIGINT) AS count,
         CASE WHEN metric = 'total_rows' THEN 100.0::DOUBLE ELSE {_PCT} END AS pct_of_total
         FROM (SELECT count(*) AS n FROM txf), (
             SELECT 'total_rows' AS metric, count(*) AS c FROM txf
@@ -625,7 +625,7 @@ _FIGURES = """SELECT sum(total_value) AS total_revenue,
     count(DISTINCT customer_id) AS distinct_customers,
     count(DISTINCT upper(stock_code)) AS distinct_products,
     least(20, count(DISTINCT (upper(stock_code), upper(description)))) AS products_tracked,
-    (SELECT count_if(is_anomaly) FROM scores) AS anomalies_flagged FROM {}"""
+    (SELECT CAST(count_if(is_anomaly) AS BIGINT) FROM scores) AS anomalies_flagged FROM {}"""
 _SLICED = f"""(SELECT * FROM revenue WHERE CAST(invoice_date AS DATE)
     BETWEEN DATE '{FIRST}' AND DATE '{LAST}')"""
 _add("d1_daily_revenue", "revenue", _DAILY.format("revenue"))
