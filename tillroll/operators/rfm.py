@@ -7,10 +7,22 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.flags import ensure_flags, genuine_sale
 from tillroll.functions.measures import line_value
+from tillroll.sources.tables import MONTH
 
 SCALED = ("scaled_recency_days", "scaled_log_frequency", "scaled_log_monetary")
 
 
+def last_invoice(facts: DataFrame) -> DataFrame:
+    """One row, one column: the last moment of the table, whoever bought.
+
+    Where facts are kept in folders by month, only the last folder's dates are read.
+    """
+    recent = facts
+    if MONTH in facts.columns:
+        recent = facts.filter(F.col(MONTH) == facts.agg(F.max(MONTH)).scalar())
+    return recent.agg(F.max("invoice_date").alias("last"))
+
+
 def rfm(facts: DataFrame) -> DataFrame:
     """One row per customer with a genuine sale.
 
@@ -18,7 +30,7 @@ def rfm(facts: DataFrame) -> DataFrame:
     The distinct count is planned by (customer, invoice) first, so a customer holding much of the
     table is spread over tasks and reaches the final step as partial sums.
     """
-    last_day = facts.agg(F.max("invoice_date").alias("last")).scalar()
+    last_day = last_invoice(facts).scalar()
     return (
         ensure_flags(facts)
         .filter(genuine_sale())
