@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_SKETCH_ACCURACY = 10_000
+_BINS = 4096
 
 
 def exact_quantiles(
@@ -17,10 +17,10 @@ def exact_quantiles(
     """The ``q``-quantile of each column by linear interpolation; None for an empty column.
 
     ``percentile`` keeps every distinct value in one task, so it serves up to ``max_rows`` rows.
-    Beyond that a mergeable sketch finds two values that enclose the wanted rank, rows up to the
-    lower one are only counted, and the open interval between them is searched next, until it is
-    small enough for one task to rank. Each pass leaves less than a thousandth of the rows, so a
-    trillion rows take three. Reads ``df`` twice per pass: hand in a stored table.
+    Beyond that the range of values is cut into equal bins, counted by an ordinary aggregation,
+    and the search goes on in the bin that holds the wanted rank, until it is small enough for one
+    task to rank. A trillion evenly spread rows take two such passes; a long tail adds one or two.
+    Each pass reads ``df`` again: hand in a stored table.
     """
     columns = list(columns)
     numbers = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
@@ -48,50 +48,44 @@ def _large_quantile(values: DataFrame, q: float, count: int, max_rows: int) -> f
     position = q * (count - 1)
     rank = math.floor(position)
     share = position - rank
-    wanted = [rank] if share == 0 else [rank, rank + 1]
-    found = _order_statistics(values, wanted, count, max_rows)
-    low, high = found[wanted[0]], found[wanted[-1]]
-    return low + (high - low) * share
+    low, high = _neighbours(values, rank, count, max_rows)
+    return low if share == 0 else low + (high - low) * share
 
 
-def _order_statistics(
-    values: DataFrame, wanted: list[int], count: int, max_rows: int
-) -> dict[int, float]:
-    """The values at the given 0-based ranks, which are neighbours."""
+def _neighbours(
+    values: DataFrame, rank: int, count: int, max_rows: int
+) -> tuple[float, float]:
+    """The values at 0-based ``rank`` and ``rank + 1``; the last value has itself for neighbour."""
     v = F.col("v")
-    found: dict[int, float] = {}
-    bracket, inside, below = values, count, 0
-    reach = 2.0 / _SKETCH_ACCURACY
-    while len(found) < len(wanted):
-        pending = [rank for rank in wanted if rank not in found]
-        if inside <= max_rows:
-            running = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            ranked = bracket.groupBy("v").count().withColumn("upto", F.sum("count").over(running))
-            row = ranked.agg(
-                *[F.min(F.when(F.col("upto") > rank - below, v)) for rank in pending]
-            ).first()
-            found.update(zip(pending, row))
-            break
-        edges = [
-            max(0.0, (pending[0] - below) / inside - reach),
-            min(1.0, (pending[-1] + 1 - below) / inside + reach),
-        ]
-        left, right = bracket.agg(F.percentile_approx("v", edges, _SKETCH_ACCURACY)).first()[0]
-        between = (v > left) & (v < right)
-        under, at_left, inner, at_right = bracket.agg(
-            F.count_if(v < left),
-            F.count_if(v == left),
-            F.count_if(between),
-            F.count_if((v == right) & (v > left)),
-        ).first()
-        first = below + under
-        if pending[0] < first or pending[-1] >= first + at_left + inner + at_right:
-            reach *= 4
-            continue
-        for rank in pending:
-            if rank < first + at_left:
-                found[rank] = left
-            elif rank >= first + at_left + inner:
-                found[rank] = right
-        bracket, inside, below = bracket.filter(between), inner, first + at_left
-    return found
+    low, high = values.agg(F.min("v"), F.max("v")).first()
+    inside, below = count, 0
+    while inside > max_rows and low < high:
+        place = F.floor((v - F.lit(low)) / F.lit(high - low) * F.lit(float(_BINS)))
+        bins = (
+            values.filter(v.between(low, high))
+            .groupBy(place.alias("bin"))
+            .agg(F.count("v").alias("rows"), F.min("v").alias("low"), F.max("v").alias("high"))
+            .orderBy("bin")
+            .collect()
+        )
+        for here, after in zip(bins, [*bins[1:], None]):
+            if rank < below + here["rows"]:
+                break
+            below += here["rows"]
+        if rank + 1 == below + here["rows"]:
+            return here["high"], after["low"] if after else here["high"]
+        low, high, inside = here["low"], here["high"], here["rows"]
+    if low == high:
+        return low, high
+    running = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        values.filter(v.between(low, high))
+        .groupBy("v")
+        .count()
+        .withColumn("upto", F.sum("count").over(running))
+        .agg(
+            F.min(F.when(F.col("upto") > rank - below, v)),
+            F.coalesce(F.min(F.when(F.col("upto") > rank + 1 - below, v)), F.max("v")),
+        )
+        .first()
+    )
