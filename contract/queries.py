@@ -587,7 +587,8 @@ def n4_fact_check_documents(spark, sf_dir):
     stats = text.stats_json(F.struct("lang", "source", "n_chars"))
     terms = text.unsupported_terms(F.col("text"), stats)
     documents = testtables.table(spark, sf_dir, "documents")
-    return documents.select("doc_id", terms.alias("terms")).select("doc_id", *_terms(F.col("terms")))
+    checked = documents.select("doc_id", terms.alias("terms"))
+    return checked.select("doc_id", *_terms(F.col("terms")))
 
 
 @query

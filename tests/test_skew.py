@@ -19,7 +19,7 @@ def facts(spark):
         F.concat(F.lit("A"), (row % 997).cast("string")).alias("invoice_no"),
         F.when(hot, F.lit("hot")).otherwise((row % 50).cast("string")).alias("stock_code"),
         F.when(row % 5 != 0, F.lit("MUG")).alias("description"),
-        F.when(row % 11 == 0, -1).otherwise((row % 7 + 1).cast("int")).cast("int").alias("quantity"),
+        F.when(row % 11 == 0, -1).otherwise(row % 7 + 1).cast("int").alias("quantity"),
         F.timestamp_add(
             "HOUR",
             F.when(hot, 5).otherwise(row % 2000).cast("int"),
