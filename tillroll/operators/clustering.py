@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.rfm import SCALED
 
+# Executors need not have this package: its functions travel to them by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROWS_PER_PARTITION = 500_000
 
 # Centres have settled once none moves by more than this many standard deviations.

@@ -7,13 +7,18 @@ scored where it lies against the broadcast trees. Nothing depends on how the row
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Executors need not have this package: its functions travel to them by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TREES = 200
 BAG_SIZE = 256
 SEED = 42
