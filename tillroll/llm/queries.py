@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import mixing, packing
+from tillroll.llm import mixing, packing, quality_rules
 from tillroll.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,18 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document; trusted is what is labelled good."""
+    docs = read_table(spark, sf_dir, "documents")
+    trusted = quality_rules.trusted_of(read_table(spark, sf_dir, "labels"))
+    scored = quality_rules.with_quality(docs, quality_rules.log_ratios(docs, trusted))
+    return scored.select(
+        *("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"),
+        *("base_failed", "log_ratio", "kept"),
+    )
+
+
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every piece of every document goes."""
