@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import mixing, packing, quality_rules
+from tillroll.llm import mixing, near_dedup, packing, quality_rules
 from tillroll.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,12 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of near copies."""
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document; trusted is what is labelled good."""
