@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import fingerprints, mixing, near_dedup, packing, quality_rules
+from tillroll.llm import fingerprints, lm_scoring, mixing, near_dedup, packing, quality_rules
 from tillroll.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,12 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's trigram score under the counts of all documents."""
+    return lm_scoring.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint, and how far it moves when a third of the text changes."""
