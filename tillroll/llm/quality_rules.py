@@ -93,7 +93,8 @@ def log_ratios(
     every count, so a bucket that neither has seen has nearly no say. Without trusted documents, or
     without any, all ratios are about zero. Null texts are empty; repeated rows count each time.
     """
-    sure = trusted.select(F.col(key).alias("__sure")).distinct()
+    # Trusted keys may be as many as documents: both sides are shuffled at any size.
+    sure = trusted.select(F.col(key).alias("__sure")).distinct().hint("merge")
     counted = (
         docs.select(F.col(key).alias("__key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
         .join(sure, F.col("__key") == F.col("__sure"), "left")

@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import fingerprints, lm_scoring, mixing, near_dedup, packing, quality_rules
+from tillroll.llm import (
+    fingerprints,
+    lm_scoring,
+    mixing,
+    near_dedup,
+    packing,
+    quality_rules,
+    warc,
+)
 from tillroll.llm.frames import read_table
+from tillroll.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,6 +40,16 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives, as the archives read back."""
+    path = new_path(spark, "archives")
+    warc.write_archives(read_table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @query
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint, and how far it moves when a third of the text changes."""
