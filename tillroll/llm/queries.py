@@ -14,6 +14,7 @@ from tillroll.llm import (
     near_dedup,
     packing,
     quality_rules,
+    rule_classifier,
     warc,
 )
 from tillroll.llm.frames import read_table
@@ -56,6 +57,13 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return rule_classifier.classify(docs, labels)[0]
+
+
 @query
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's group of near copies."""
