@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import (
     fingerprints,
+    language_id,
+    license_scan,
     lm_scoring,
     mixing,
     near_dedup,
@@ -41,6 +43,19 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's language; texts are modelled on all documents."""
+    pages, docs = read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "documents")
+    return language_id.identify(pages, docs)
+
+
+@query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license notice in every document."""
+    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives, as the archives read back."""
