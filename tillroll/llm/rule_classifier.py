@@ -144,7 +144,7 @@ def classify(
     Only the text decides the score. A null text is an empty one; repeated rows are scored alike;
     other columns are ignored; no rows give none.
     """
-    statistics = stored(with_statistics(docs, key, text), "statistics")
+    statistics = stored(with_statistics(docs, text, [key]), "statistics")
     model = learn(statistics, labels, key, label)
     return scored(statistics, model, key), model
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.llm import words as W
+from tillroll.llm.frames import new_name
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -127,23 +128,31 @@ def statistics_of(texts: pa.Array) -> list[np.ndarray]:
     ]
 
 
-def with_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, statistics...) for each row, doubles; a null text is empty."""
+def with_statistics(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns in ``keep`` (default: all) and the statistics (doubles), one row for each row.
+
+    A null text is empty. Input columns named like a statistic are replaced.
+    """
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in STATISTICS]
     schema = T.StructType(
         [
-            T.StructField(key, docs.schema[key].dataType),
+            *[docs.schema[name] for name in names],
             *[T.StructField(name, T.DoubleType()) for name in STATISTICS],
         ]
     )
+    body = new_name(docs, "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in W.blocks(batch, "text"):
+            for block in W.blocks(batch, body):
                 yield pa.RecordBatch.from_arrays(
-                    [block.column("key"), *map(pa.array, statistics_of(block.column("text")))],
+                    [
+                        *[block.column(name) for name in names],
+                        *map(pa.array, statistics_of(block.column(body))),
+                    ],
                     names=schema.names,
                 )
 
-    return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(
-        run, schema
-    )
+    return docs.select(
+        *[F.col(f"`{name}`") for name in names], F.col(text).cast("string").alias(body)
+    ).mapInArrow(run, schema)
