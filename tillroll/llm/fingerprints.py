@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,8 +77,12 @@ def codes_of(texts: pa.Array, samples: int = SAMPLES) -> np.ndarray:
     return codes
 
 
-def as_text(codes: np.ndarray) -> list[str]:
-    return [row.astype(">u2").tobytes().hex() for row in codes]
+def as_bytes(codes: np.ndarray) -> pa.Array:
+    return pa.array([row.astype(">u2").tobytes() for row in codes], pa.binary())
+
+
+def as_text(column: str) -> Column:
+    return F.lower(F.hex(column)).alias(column)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -95,20 +99,17 @@ def fingerprints(
     of white space, has zeros throughout. Other columns are ignored; no rows give none.
     """
     schema = T.StructType(
-        [T.StructField(key, docs.schema[key].dataType), T.StructField("fingerprint", T.StringType())]
+        [T.StructField(key, docs.schema[key].dataType), T.StructField("fingerprint", T.BinaryType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in W.blocks(batch, "text"):
-                found = as_text(codes_of(block.column("text"), samples))
-                yield pa.RecordBatch.from_arrays(
-                    [block.column("key"), pa.array(found, pa.string())], names=schema.names
-                )
+                found = as_bytes(codes_of(block.column("text"), samples))
+                yield pa.RecordBatch.from_arrays([block.column("key"), found], names=schema.names)
 
-    return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(
-        run, schema
-    )
+    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(run, schema).select(key, as_text("fingerprint"))
 
 
 def _spliced(own: str, other: str) -> str:
@@ -136,9 +137,9 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
     result = [
         T.StructField(key, kind),
         T.StructField("n_chars", T.LongType()),
-        T.StructField("edited_sha256", T.StringType()),
-        T.StructField("fingerprint", T.StringType()),
-        T.StructField("edited_fingerprint", T.StringType()),
+        T.StructField("edited_sha256", T.BinaryType()),
+        T.StructField("fingerprint", T.BinaryType()),
+        T.StructField("edited_fingerprint", T.BinaryType()),
         T.StructField("near_edited", T.DoubleType()),
         T.StructField("near_next", T.DoubleType()),
     ]
@@ -157,9 +158,9 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
         return [
             keys,
             pa.array([len(x) for x in own], pa.int64()),
-            pa.array([hashlib.sha256(x.encode()).hexdigest() for x in edited], pa.string()),
-            pa.array(as_text(first), pa.string()),
-            pa.array(as_text(second), pa.string()),
+            pa.array([hashlib.sha256(x.encode()).digest() for x in edited], pa.binary()),
+            as_bytes(first),
+            as_bytes(second),
             pa.array(likeness(first, second)),
             pa.array(likeness(first, next_codes(first))),
         ]
@@ -168,7 +169,7 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
         task = TaskContext.get().partitionId()
 
         def row(keys: pa.Array, body: str, role: int) -> pa.RecordBatch:
-            none = pa.nulls(1, pa.string())
+            none = pa.nulls(1, pa.binary())
             columns = [keys, pa.array([len(body)], pa.int64()), none, none, none]
             columns += [pa.nulls(1, pa.float64())] * 2
             columns += [pa.array([task], pa.int32()), pa.array([role], pa.int32()), pa.array([body])]
@@ -237,8 +238,10 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
         .join(firsts.select("task", F.col("text").alias("following")), "task")
         .select("key", "own", "following")
     )
-    return (
+    every = (
         table.filter(F.col("role") == _DONE)
         .select(*names)
         .unionByName(pairs.mapInArrow(finish, T.StructType(result)))
     )
+    shown = ("edited_sha256", "fingerprint", "edited_fingerprint")
+    return every.select(*[as_text(name) if name in shown else F.col(name) for name in names])
