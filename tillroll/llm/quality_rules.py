@@ -168,15 +168,26 @@ def with_quality(
         .withColumn("__four", _joined(F.col("__two"), F.col("__two"), 2))
         .withColumn("__five", _joined(F.col("__four"), F.col("__one"), 4))
         .withColumn("__table", ratios.select("log_ratio").scalar())
+        # Through explode() no filter on the outcome is pushed down: pushed, it would put each of
+        # the arrays above inside the next one's lambda.
         .select(
             *columns,
-            F.size("__words").cast("long").alias("n_words"),
-            F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
-            F.regexp_count("__text", F.lit(_SYMBOLS)).cast("long").alias("n_symbols"),
-            (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
-            _covered_words(F.col("__five"), 5).alias("n_repeat_words"),
-            score.alias("__score"),
+            F.explode(
+                F.array(
+                    F.struct(
+                        F.size("__words").cast("long").alias("n_words"),
+                        F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
+                        F.regexp_count("__text", F.lit(_SYMBOLS)).cast("long").alias("n_symbols"),
+                        (F.size("__lines") - F.size(F.array_distinct("__lines")))
+                        .cast("long")
+                        .alias("n_dup_lines"),
+                        _covered_words(F.col("__five"), 5).alias("n_repeat_words"),
+                        score.alias("__score"),
+                    )
+                )
+            ).alias("__measured"),
         )
+        .select(*columns, "__measured.*")
         .withColumn("base_failed", failed)
         .withColumn(
             "log_ratio", F.col("__score") / F.greatest(2 * n_words - 1, F.lit(1)).cast("double")
