@@ -40,7 +40,15 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 @query
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's trigram score under the counts of all documents."""
-    return lm_scoring.score_documents(read_table(spark, sf_dir, "documents"))
+    scored = lm_scoring.score_documents(read_table(spark, sf_dir, "documents"))
+    orders = ("n_unigram", "n_bigram", "n_trigram")
+    return scored.select(
+        "doc_id",
+        "n_words",
+        *[F.col("n_by_order")[i].alias(name) for i, name in enumerate(orders)],
+        (F.round("log_score", 5) + F.lit(0.0)).alias("log_score"),
+        F.round("mean_log_score", 5).alias("mean_log_score"),
+    )
 
 
 @query
