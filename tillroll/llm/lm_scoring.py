@@ -39,51 +39,64 @@ ORDER = 3
 MIN_COUNT = 2
 BACKOFF = 0.4
 #: Megabytes of text handled together, and about so many n-grams to a partition of the count table.
-CHUNK_MB = 4.0
+CHUNK_MB = 8.0
 PARTITION_N_GRAMS = 2_000_000
 
 
 class Entries(NamedTuple):
-    """A chunk's n-grams. ``at[n]``: of order n + 1, by word, its distinct n-gram's index or -1,
-    for the n-gram that ends at the word."""
+    """A chunk's distinct n-grams, ascending. ``at[n]``: of order n + 1, by word, the index of the
+    n-gram that ends at the word, or -1. ``first``: by text, its first word, and the end."""
 
     hashes: np.ndarray
     counts: np.ndarray
     at: list[np.ndarray]
-    words: W.Words
-
-
-def entries_of(texts: pa.Array, order: int) -> Entries:
-    words = W.words_of(texts, W.alphabet(lower=True))
-    n = len(words.hashes)
-    found, places = [], []
-    for k in range(1, order + 1):
-        hashes, at = W.windows(words, k)
-        found.append(hashes)
-        places.append(at + (k - 1))
-    hashes, which, counts = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+    first: np.ndarray
+
+
+def entries_of(table: pa.Table, order: int, bits: int) -> Entries:
+    """``bits``: how much of a hash is kept."""
+    letters = W.alphabet(lower=True)
+    found: list[list[np.ndarray]] = [[] for _ in range(order)]
+    places: list[list[np.ndarray]] = [[] for _ in range(order)]
+    first, n = [np.zeros(1, np.int64)], 0
+    for batch in table.select(["text"]).to_batches():
+        for block in W.blocks(batch, "text"):
+            words = W.words_of(block.column("text"), letters)
+            for k in range(order):
+                hashes, at = W.windows(words, k + 1)
+                found[k].append(hashes >> np.uint64(64 - bits))
+                places[k].append(at + (n + k))
+            first.append(words.first[1:] + n)
+            n += len(words.hashes)
+    own = [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in found]
+    hashes, which, counts = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
     at, begin = [], 0
-    for own, place in zip(found, places, strict=True):
-        index = np.full(n, -1, np.int64)
-        index[place] = which[begin : begin + len(own)]
+    for k in range(order):
+        index = np.full(n, -1, np.int32)
+        if places[k]:
+            index[np.concatenate(places[k])] = which[begin : begin + len(own[k])]
         at.append(index)
-        begin += len(own)
-    return Entries(hashes, counts, at, words)
+        begin += len(own[k])
+    return Entries(hashes, counts, at, np.concatenate(first))
 
 
-def _bounds(partitions: int) -> np.ndarray:
+def _bounds(partitions: int, bits: int) -> np.ndarray:
     """Where each partition of the hash range begins; ``partitions`` is a power of two."""
-    step = (1 << 64) // partitions
-    return np.array([i * step for i in range(partitions)], np.uint64)
+    return np.arange(partitions, dtype=np.uint64) * np.uint64((1 << bits) // partitions)
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Unsigned numbers by byte plane, lowest first, so that planes of zeros compress away."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Unsigned numbers by byte plane, lowest first, compressed."""
+    import zstandard
+
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
     return np.ascontiguousarray(planes.T).view("<u8").reshape(-1)
 
 
@@ -109,11 +122,6 @@ _ANSWER = T.StructType(
 )
 
 
-def _texts(table: pa.Table) -> pa.Array:
-    column = table.column("text").cast(pa.large_string()).combine_chunks()
-    return column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks)
-
-
 def score_documents(
     docs: DataFrame,
     key: str = "doc_id",
@@ -138,6 +146,9 @@ def score_documents(
     n_grams = mb * 1e6 / 6 * order
     partitions = 1 << max(3, math.ceil(math.log2(max(1.0, n_grams / partition_n_grams))))
 
+    # So many bits that less than one pair of n-grams is expected to share a hash, up to 64.
+    bits = min(64, max(40, 2 * math.ceil(math.log2(max(2.0, n_grams)))))
+
     kind = docs.schema[key].dataType
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     dealt = rows.withColumn(
@@ -146,8 +157,8 @@ def score_documents(
 
     def send(group: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.sort_by([("key", "ascending")])
-        found = entries_of(_texts(table), order)
-        cuts = np.append(np.searchsorted(found.hashes, _bounds(partitions)), len(found.hashes))
+        found = entries_of(table, order, bits)
+        cuts = np.append(np.searchsorted(found.hashes, _bounds(partitions, bits)), len(found.hashes))
         own = [i for i in range(partitions) if cuts[i] < cuts[i + 1]]
         return pa.table(
             [
@@ -190,12 +201,12 @@ def score_documents(
 
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
         table = table.sort_by([("key", "ascending")])
-        found = entries_of(_texts(table), order)
+        found = entries_of(table, order, bits)
         answers = answers.sort_by([("part", "ascending")])
         parts = [_unpacked(x) for x in answers.column("counts").to_pylist()]
         counts = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
         counts = counts.astype(np.float64)
-        n = len(found.words.hashes)
+        n = len(found.at[0])
         log = np.zeros(n)
         used = np.zeros(n, np.int64)
         open_ = np.ones(n, dtype=bool)
@@ -210,7 +221,7 @@ def score_documents(
             log[open_ & (at >= 0)] += math.log(backoff)
         log[open_] += np.log(counts[found.at[0][open_]])
         used[open_] = 1
-        first = found.words.first
+        first = found.first
         by_order = np.stack(
             [W.sums_by_row((used == k).astype(np.int64), first) for k in range(1, order + 1)], axis=1
         )
