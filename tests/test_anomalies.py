@@ -103,8 +103,10 @@ def test_flagged_share_and_sign(spark, cloud):
     flagged = anomalies.flag_top_share(scored).toPandas()
     assert flagged["is_anomaly"].sum() == 15
     assert (flagged["is_anomaly"] == (flagged["anomaly_score"] > 0)).all()
-    again = anomalies.flag_top_share(scored, max_rows=100).toPandas()
-    pd.testing.assert_frame_equal(flagged, again)
+    again = anomalies.flag_top_share(scored.repartition(3)).toPandas()
+    pd.testing.assert_frame_equal(
+        flagged.sort_values("id", ignore_index=True), again.sort_values("id", ignore_index=True)
+    )
 
 
 def test_every_genuine_sale_is_scored(spark, sf):
@@ -152,3 +154,24 @@ def test_nothing_scored(spark):
     assert anomalies.anomaly_overview(empty).first().pct_anomalous is None
     share = anomalies.customer_concentration(facts_of(spark), empty).first()
     assert share.top_anomalies == 0 and share.pct_of_anomalies is None
+
+
+def test_one_sampling_law_at_every_size(spark):
+    """Rows join trees independently, with the same chance, however large the table is."""
+    for n, bag in ((400, 32), (40_000, 32)):
+        rows = spark.range(n).select("id", F.lit(0.5).alias("x"), F.lit(0.5).alias("y"))
+        bags = forest.draw_bags(rows, "id", XY, trees=40, bag_size=bag).toPandas()
+        wanted = min(n, bag + 6 * np.sqrt(bag))
+        sizes = bags.groupby("tree").size().reindex(range(40), fill_value=0)
+        assert abs(sizes.mean() - wanted) < 5 * np.sqrt(wanted / 40)
+        assert not bags.duplicated(["tree", "key"]).any()
+        both = np.mean([
+            len(set(bags[bags.tree == t].key) & set(bags[bags.tree == t + 1].key)) for t in range(39)
+        ])
+        assert abs(both - wanted * wanted / n) < 3
+
+
+def test_height_follows_the_real_bag(spark):
+    rows = spark.range(50).select("id", F.rand(1).alias("x"), F.rand(2).alias("y"))
+    nodes = forest.fit_forest(rows, "id", XY, trees=5).toPandas()
+    assert np.floor(np.log2(nodes["node"] + 1)).max() <= 6

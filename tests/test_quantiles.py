@@ -21,7 +21,7 @@ def test_narrowing_finds_the_same_value(spark, q, kind):
         "two values": np.repeat([1.0, 2.0], [9_999, 10_002]),
         "constant": np.full(20_001, 5.0),
     }[kind]
-    got = exact_quantile(frame(spark, values), "v", q, max_rows=40)
+    got = exact_quantile(frame(spark, values), "v", q)
     assert got == pytest.approx(np.quantile(values, q), rel=1e-12)
 
 
@@ -34,9 +34,36 @@ def test_any_small_column(spark, values, q):
     df = frame(spark, values).coalesce(1)
     want = np.quantile(values, q)
     assert exact_quantile(df, "v", q) == pytest.approx(want)
-    assert exact_quantile(df, "v", q, max_rows=3) == pytest.approx(want)
 
 
 def test_empty_and_missing(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0)], "a double, b double")
     assert exact_quantiles(df, ["a", "b"], 0.5) == {"a": None, "b": 2.0}
+
+
+def test_infinite_values_rank_at_the_ends(spark):
+    inf = float("inf")
+    values = [inf, -inf, *range(501), float("nan")]
+    df = frame(spark, values)
+    assert exact_quantile(df, "v", 0.5) == 250.0
+    assert exact_quantile(df, "v", 0.0) == -inf and exact_quantile(df, "v", 1.0) == inf
+    assert exact_quantile(frame(spark, [inf, inf]), "v", 0.5) == inf
+    assert exact_quantile(frame(spark, [1e308, -1e308, 0.0]), "v", 0.5) == 0.0
+    assert exact_quantile(frame(spark, [0.0, 5e-324, 5e-324, 1e-323]), "v", 0.5) == 5e-324
+
+
+def test_a_tenfold_table_has_nearly_the_same_quantiles(spark):
+    values = np.random.default_rng(2).lognormal(0, 2, 2_000)
+    once, tenfold = frame(spark, values), frame(spark, np.repeat(values, 10))
+    for q in (0.25, 0.5, 0.99):
+        assert exact_quantile(once, "v", q) == pytest.approx(np.quantile(values, q), rel=1e-12)
+        assert exact_quantile(tenfold, "v", q) == pytest.approx(
+            np.quantile(np.repeat(values, 10), q), rel=1e-12
+        )
+
+
+def test_columns_share_the_passes(spark):
+    rng = np.random.default_rng(3)
+    data = pd.DataFrame({"a": rng.normal(size=3_000), "b": rng.integers(0, 5, 3_000) * 1.0, "c": 7.0})
+    got = exact_quantiles(spark.createDataFrame(data), ["a", "b", "c"], 0.9)
+    assert got == pytest.approx({name: np.quantile(data[name], 0.9) for name in data})

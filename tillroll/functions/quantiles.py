@@ -1,91 +1,123 @@
-"""Exact interpolated quantiles that never gather a whole column in one task."""
+"""Exact interpolated quantiles that never gather a column in one task."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _BINS = 4096
 
 
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], q: float, max_rows: int = 1_000_000
-) -> dict[str, float | None]:
+@dataclass
+class _Search:
+    """A 0-based rank among ``low`` to ``high``, of which ``below`` lie under ``low``."""
+
+    rank: int
+    low: float
+    high: float
+    below: int = 0
+    found: tuple[float, float] | None = None
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float) -> dict[str, float | None]:
     """The ``q``-quantile of each column by linear interpolation; None for an empty column.
 
-    ``percentile`` keeps every distinct value in one task, so it serves up to ``max_rows`` rows.
-    Beyond that the range of values is cut into equal bins, counted by an ordinary aggregation,
-    and the search goes on in the bin that holds the wanted rank, until it is small enough for one
-    task to rank. A trillion evenly spread rows take two such passes; a long tail adds one or two.
-    Each pass reads ``df`` again: hand in a stored table.
+    NULL and NaN are left out; infinite values rank at the ends. The finite range of a column is cut
+    into equal bins, counted by an ordinary aggregation, and the search goes on between the least and
+    the greatest value of the bin that holds the wanted rank. The ends of a range fall into different
+    bins, so every pass leaves fewer distinct values. All columns share each pass; a pass brings at
+    most ``_BINS`` + 1 rows a column to the driver. Each pass reads ``df`` again: hand in a stored
+    table.
     """
     columns = list(columns)
     numbers = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
-    numbers = numbers.select(
-        *[F.when(~F.isnan(name), F.col(name)).alias(name) for name in columns]
-    )
-    counts = numbers.agg(*[F.count(name).alias(name) for name in columns]).first()
-    small = [name for name in columns if counts[name] <= max_rows]
-    out: dict[str, float | None] = {}
-    if small:
-        row = numbers.agg(*[F.percentile(name, q).alias(name) for name in small]).first()
-        out.update({name: row[name] for name in small})
-    for name in columns:
-        if name not in out:
-            values = numbers.select(F.col(name).alias("v")).filter(F.col("v").isNotNull())
-            out[name] = _large_quantile(values, q, counts[name], max_rows)
+    infinity = F.lit(float("inf"))
+
+    def finite(name: str) -> Column:
+        v = F.col(name)
+        return F.when(~F.isnan(v) & (v < infinity) & (v > -infinity), v)
+
+    first = numbers.agg(
+        *[F.count(finite(name)).alias(f"n_{i}") for i, name in enumerate(columns)],
+        *[F.min(finite(name)).alias(f"low_{i}") for i, name in enumerate(columns)],
+        *[F.max(finite(name)).alias(f"high_{i}") for i, name in enumerate(columns)],
+        *[F.count_if(F.col(name) == -infinity).alias(f"under_{i}") for i, name in enumerate(columns)],
+        *[F.count_if(F.col(name) == infinity).alias(f"over_{i}") for i, name in enumerate(columns)],
+    ).first()
+    searches: dict[int, _Search] = {}
+    shares: dict[int, float] = {}
+    counts: dict[int, tuple[int, int]] = {}
+    for i in range(len(columns)):
+        n, under, over = (first[f"{part}_{i}"] for part in ("n", "under", "over"))
+        if n + under + over == 0:
+            continue
+        position = q * (n + under + over - 1)
+        rank = math.floor(position)
+        shares[i], counts[i] = position - rank, (n, under)
+        searches[i] = _Search(rank - under, first[f"low_{i}"], first[f"high_{i}"])
+        if rank < under or rank >= under + n:
+            end = -math.inf if rank < under else math.inf
+            after = end if rank + 1 != under else searches[i].low if n else math.inf
+            searches[i].found = (end, end if end > 0 else after)
+    _narrow(numbers, columns, finite, searches, counts)
+    out: dict[str, float | None] = dict.fromkeys(columns)
+    for i, search in searches.items():
+        low, high = search.found
+        share = shares[i]
+        out[columns[i]] = low if share == 0 or low == high else low + (high - low) * share
     return out
 
 
-def exact_quantile(df: DataFrame, column: str, q: float, max_rows: int = 1_000_000) -> float | None:
-    return exact_quantiles(df, [column], q, max_rows)[column]
-
-
-def _large_quantile(values: DataFrame, q: float, count: int, max_rows: int) -> float:
-    position = q * (count - 1)
-    rank = math.floor(position)
-    share = position - rank
-    low, high = _neighbours(values, rank, count, max_rows)
-    return low if share == 0 else low + (high - low) * share
-
-
-def _neighbours(
-    values: DataFrame, rank: int, count: int, max_rows: int
-) -> tuple[float, float]:
-    """The values at 0-based ``rank`` and ``rank + 1``; the last value has itself for neighbour."""
-    v = F.col("v")
-    low, high = values.agg(F.min("v"), F.max("v")).first()
-    inside, below = count, 0
-    while inside > max_rows and low < high:
-        place = F.floor((v - F.lit(low)) / F.lit(high - low) * F.lit(float(_BINS)))
-        bins = (
-            values.filter(v.between(low, high))
-            .groupBy(place.alias("bin"))
-            .agg(F.count("v").alias("rows"), F.min("v").alias("low"), F.max("v").alias("high"))
-            .orderBy("bin")
+def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
+    return exact_quantiles(df, [column], q)[column]
+
+
+def _narrow(numbers, columns, finite, searches, counts) -> None:
+    """Search until every column has its values at ``rank`` and ``rank + 1``."""
+    while True:
+        open_ = {}
+        for i, search in searches.items():
+            if search.found is None and search.low == search.high:
+                _settle(search, counts[i][0], search.high)
+            if search.found is None:
+                open_[i] = search
+        if not open_:
+            return
+        candidates = []
+        for i, search in open_.items():
+            v, low, high = finite(columns[i]), F.lit(search.low), F.lit(search.high)
+            # Halves, since the difference of two large numbers may not be finite.
+            place = (v / 2 - low / 2) / F.lit(search.high / 2 - search.low / 2)
+            if search.high / 2 - search.low / 2 == 0:  # neighbouring numbers next to zero
+                place = F.when(v == low, F.lit(0.0)).otherwise(F.lit(1.0))
+            bin_ = F.when(v.between(low, high), F.floor(place * float(_BINS)))
+            candidates.append(F.struct(F.lit(i).alias("i"), bin_.alias("bin"), v.alias("v")))
+        rows = (
+            numbers.select(F.explode(F.array(*candidates)).alias("c"))
+            .filter(F.col("c.bin").isNotNull())
+            .groupBy("c.i", "c.bin")
+            .agg(F.count("*").alias("rows"), F.min("c.v").alias("low"), F.max("c.v").alias("high"))
+            .orderBy("i", "bin")
             .collect()
         )
-        for here, after in zip(bins, [*bins[1:], None]):
-            if rank < below + here["rows"]:
-                break
-            below += here["rows"]
-        if rank + 1 == below + here["rows"]:
-            return here["high"], after["low"] if after else here["high"]
-        low, high, inside = here["low"], here["high"], here["rows"]
-    if low == high:
-        return low, high
-    running = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        values.filter(v.between(low, high))
-        .groupBy("v")
-        .count()
-        .withColumn("upto", F.sum("count").over(running))
-        .agg(
-            F.min(F.when(F.col("upto") > rank - below, v)),
-            F.coalesce(F.min(F.when(F.col("upto") > rank + 1 - below, v)), F.max("v")),
-        )
-        .first()
-    )
+        for i, search in open_.items():
+            bins = [row for row in rows if row["i"] == i]
+            for here, after in zip(bins, [*bins[1:], None]):
+                if search.rank < search.below + here["rows"]:
+                    break
+                search.below += here["rows"]
+            if search.rank + 1 == search.below + here["rows"]:
+                _settle(search, counts[i][0], here["high"], after["low"] if after else None)
+            search.low, search.high = here["low"], here["high"]
+
+
+def _settle(search: _Search, n: int, low: float, high: float | None = None) -> None:
+    """``low`` is the value at the rank. Without a next value in sight it is followed by itself, or
+    by what ranks above all finite values."""
+    if high is None:
+        high = low if search.rank + 1 < n else math.inf
+    search.found = (low, high)

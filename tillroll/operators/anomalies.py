@@ -64,13 +64,12 @@ def flag_top_share(
     scored: DataFrame,
     score: str = "raw_score",
     contamination: float = CONTAMINATION,
-    max_rows: int = 1_000_000,
 ) -> DataFrame:
     """Shift the score so that the top ``contamination`` share lies above 0, and flag it.
 
     Reads ``scored`` several times: hand in a stored table.
     """
-    cut = exact_quantile(scored, score, 1.0 - contamination, max_rows)
+    cut = exact_quantile(scored, score, 1.0 - contamination)
     shifted = F.col(score).cast("double") - F.lit(cut)
     return scored.withColumns({"anomaly_score": shifted, "is_anomaly": shifted > 0})
 

@@ -22,6 +22,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TREES = 200
 BAG_SIZE = 256
 SEED = 42
+#: Tasks that grow trees; a bag is small, so there is no need for one to each tree.
+TASKS = 32
 
 NODES = (
     "tree int, node int, feature int, threshold double, size int, bag_size int"
@@ -45,36 +47,50 @@ def draw_bags(
 ) -> DataFrame:
     """(tree, draw, key, features): a little more than ``bag_size`` candidates for each tree.
 
-    A tree's bag is its ``bag_size`` rows of lowest draw, without replacement. While the table is
-    not far larger than all bags together, each row draws for each tree. Beyond that a row being
-    in two bags is so unlikely that it draws once and is dealt to one tree, which keeps the work
-    at one hash per row. Which case holds is decided by the row count inside the same query.
+    A tree's bag is its ``bag_size`` rows of lowest draw, without replacement. Each row joins each
+    tree with the same chance, independently, at every size of table. Which trees it joins is drawn
+    as skips along the trees' numbers: on a large table the first skip leads past the last tree for
+    nearly all rows, which costs one hash a row.
     """
     total = rows.agg(F.count("*").alias("n")).scalar()
     # Six standard deviations above the wanted size, so that a bag practically never falls short.
     candidates = bag_size + 6 * math.sqrt(bag_size)
-    one_tree = F.lit(candidates) / F.greatest(total, F.lit(1))
+    chance = F.lit(candidates) / F.greatest(total, F.lit(1))
     counted = rows.select(
         F.col(key).cast("long").alias("key"),
         *[F.col(name).cast("double").alias(name) for name in features],
-        one_tree.alias("__p"),
+        chance.alias("__p"),
     )
-    many = F.col("__p") * F.lit(float(4 * trees)) < 1
-    once = _chance(F.col("key"), F.lit(seed))
-    dealt = F.pmod(F.xxhash64(F.col("key"), F.lit(seed), F.lit(1)), F.lit(trees)).cast("int")
-    all_draws = F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.struct(t.alias("tree"), _chance(F.col("key"), t, F.lit(seed)).alias("draw")),
+
+    def skip(step: Column) -> Column:
+        """Trees passed over before the next one that the row joins."""
+        u = _chance(F.col("key"), step, F.lit(seed)) + F.lit(0.5 / _BITS)
+        far = F.floor(F.log(u) / F.log1p(-F.least(F.col("__p"), F.lit(0.999999))))
+        return F.when(F.col("__p") >= 1, F.lit(0)).otherwise(
+            F.least(far, F.lit(trees)).cast("int")
+        )
+
+    def join_next(acc: Column, step: Column) -> Column:
+        tree = acc["next"]
+        draw = _chance(F.col("key"), tree, F.lit(seed), F.lit(1))
+        joined = F.concat(acc["trees"], F.array(F.struct(tree.alias("tree"), draw.alias("draw"))))
+        done = tree >= trees
+        return F.struct(
+            F.when(done, tree).otherwise(tree + 1 + skip(step)).alias("next"),
+            F.when(done, acc["trees"]).otherwise(joined).alias("trees"),
+        )
+
+    none = F.array().cast("array<struct<tree:int,draw:double>>")
+    draws = F.aggregate(
+        F.sequence(F.lit(1), F.lit(trees)),
+        F.struct(F.col("__first").alias("next"), none.alias("trees")),
+        join_next,
+        lambda acc: acc["trees"],
     )
-    draws = F.when(
-        many,
-        F.when(
-            once < F.col("__p") * trees,
-            F.array(F.struct(dealt.alias("tree"), once.alias("draw"))),
-        ),
-    ).otherwise(F.filter(all_draws, lambda d: d["draw"] < F.col("__p")))
     return (
-        counted.select("key", *features, F.explode(draws).alias("d"))
+        counted.withColumn("__first", skip(F.lit(0)))
+        .filter(F.col("__first") < trees)
+        .select("key", *features, F.explode(draws).alias("d"))
         .select("d.tree", "d.draw", "key", *features)
     )
 
@@ -93,11 +109,11 @@ def fit_forest(
     the input's size.
     """
     names = list(features)
-    height = math.ceil(math.log2(max(bag_size, 2)))
 
     def fit(key_: tuple, bag: pd.DataFrame) -> pd.DataFrame:
         tree = int(key_[0])
         bag = bag.sort_values(["draw", "key"]).head(bag_size).sort_values("key")
+        height = math.ceil(math.log2(max(len(bag), 2)))
         nodes = _grow(bag[names].to_numpy(float), height, np.random.default_rng([seed, tree]))
         out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "size"])
         return out.assign(tree=tree, bag_size=len(bag))[
@@ -106,7 +122,7 @@ def fit_forest(
 
     # All bags together are a few megabytes, which adaptive execution would leave to one task; a
     # stated number of partitions lets the trees grow side by side.
-    tasks = min(trees, rows.sparkSession.sparkContext.defaultParallelism)
+    tasks = min(trees, TASKS)
     return (
         draw_bags(rows, key, names, trees, bag_size, seed)
         .repartition(tasks, "tree")
