@@ -372,8 +372,9 @@ _add(
 _add("f8_line_value", "txf", "SELECT id, total_value FROM txf")
 _add(
     "f9_genuine_sales",
-    "txf sales",
-    "SELECT id, id IN (SELECT id FROM sales) AS is_genuine FROM txf",
+    "txf",
+    """SELECT id, customer_id IS NOT NULL AND NOT is_cancellation AND NOT is_stock_adjustment
+        AND quantity > 0 AND unit_price > 0 AS is_genuine FROM txf""",
 )
 
 _add("v1_revenue_transactions", "revenue", f"SELECT {TX}, {FLAGS} FROM revenue")

@@ -22,6 +22,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS_PER_PARTITION = 500_000
 
+# Points to a block of the exact silhouette.
+BLOCK = 2_048
+
 # Centres have settled once none moves by more than this many standard deviations.
 TOLERANCE = 0.01
 
@@ -121,83 +124,63 @@ def squared_silhouette(vectors: DataFrame, label: str = "cluster") -> float:
     ).evaluate(vectors)
 
 
-def _reference_points(
-    features: DataFrame, key: str, columns: Sequence[str], label: str, size: int, seed: int
-) -> tuple[pd.DataFrame, bool]:
-    """At most ``size`` points chosen by hash of the key, and whether they are all there are."""
-    total = features.count()
-    points = features.select(key, label, *[F.col(name).cast("double") for name in columns])
-    if total <= size:
-        return points.toPandas(), True
-    order = F.xxhash64(F.col(key), F.lit(seed))
-    # Cut by hash value first, so that only about twice the wanted points are sorted.
-    share = min(1.0, 2.0 * size / total)
-    chance = F.pmod(order, F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = points.filter(chance < share).orderBy(order, key).limit(size)
-    return chosen.toPandas(), False
-
-
 def euclidean_silhouette(
     features: DataFrame,
     key: str = "customer_id",
     columns: Sequence[str] = SCALED,
     label: str = "cluster",
-    reference_size: int = 16_384,
-    seed: int = 42,
+    block: int = BLOCK,
 ) -> DataFrame:
     """Silhouette of every point on Euclidean distance (Rousseeuw 1987): (key, label, silhouette).
 
-    A point's mean distance to each cluster is taken over the reference points, which are the
-    whole table up to ``reference_size`` rows (the result is then exact) and a hash sample of that
-    size beyond, where the exact value would cost time quadratic in the table. Every point is
-    scored in either case. The broadcast reference never exceeds ``reference_size`` rows.
+    Exact at every size, and so quadratic: each point's distances to all points are summed. Points are
+    dealt into blocks of about ``block``; each pair of blocks is one small task that hands on a sum and
+    a count for each of its points and each cluster. Ask for it where that time is to be had; the
+    squared silhouette is linear.
     """
-    points, complete = _reference_points(features, key, columns, label, reference_size, seed)
-    points = points.sort_values(key)
-    labels = np.unique(points[label].to_numpy())
-    shared = features.sparkSession.sparkContext.broadcast(
-        {
-            "labels": labels,
-            "keys": {c: points.loc[points[label] == c, key].to_numpy() for c in labels},
-            "points": {
-                c: points.loc[points[label] == c, list(columns)].to_numpy(float) for c in labels
-            },
-            "complete": complete,
-        }
-    )
     names = list(columns)
-
-    def score(batches):
-        ref = shared.value
-        for batch in batches:
-            here = batch[names].to_numpy(float)
-            own = batch[label].to_numpy()
-            keys = batch[key].to_numpy()
-            inner = np.full(len(batch), np.nan)
-            outer = np.full(len(batch), np.inf)
-            for c in ref["labels"]:
-                total = _distance_sums(here, ref["points"][c])
-                mine = own == c
-                known = mine if ref["complete"] else mine & np.isin(keys, ref["keys"][c])
-                others = len(ref["points"][c]) - known
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    inner[mine] = np.where(others > 0, total / others, np.nan)[mine]
-                away = total / len(ref["points"][c])
-                outer[~mine] = np.minimum(outer, away)[~mine]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                value = (outer - inner) / np.maximum(inner, outer)
-            # A point alone in its cluster, or with no other cluster, has silhouette 0.
-            value = np.where(np.isfinite(value), value, 0.0)
-            yield pd.DataFrame({key: keys, label: own, "silhouette": value})
-
+    blocks = max(1, -(-features.count() // block))
+    points = features.select(
+        key,
+        label,
+        *[F.col(name).cast("double").alias(name) for name in names],
+        F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("__block"),
+    )
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    here = points.select("*", every.alias("__other"))
+    there = points.withColumnRenamed("__block", "__other").select("*", every.alias("__block"))
     fields = features.select(key, label).schema
-    out = f"{key} {fields[key].dataType.simpleString()}, "
-    out += f"{label} {fields[label].dataType.simpleString()}, silhouette double"
-    # The work per row is large, so rows are spread over all cores first, however few files hold
-    # them.
-    cores = features.sparkSession.sparkContext.defaultParallelism
-    spread = features.select(key, label, *names).repartition(cores, key)
-    return spread.mapInPandas(score, out)
+    kinds = [fields[name].dataType.simpleString() for name in (key, label)]
+    out = f"{key} {kinds[0]}, {label} {kinds[1]}, other {kinds[1]}, total double, points long"
+
+    def distances(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        mine = left[names].to_numpy(float)
+        parts = []
+        for other, group in right.groupby(label):
+            sums = _distance_sums(mine, group[names].to_numpy(float))
+            parts.append(
+                pd.DataFrame(
+                    {key: left[key], label: left[label], "other": other, "total": sums, "points": len(group)}
+                )
+            )
+        return pd.concat(parts) if parts else pd.DataFrame(columns=[key, label, "other", "total", "points"])
+
+    pair = ("__block", "__other")
+    sums = (
+        here.groupBy(*pair)
+        .cogroup(there.groupBy(*pair))
+        .applyInPandas(distances, out)
+        .groupBy(key, label, "other")
+        .agg(F.sum("total").alias("total"), F.sum("points").alias("points"))
+    )
+    own = F.col("other") == F.col(label)
+    means = sums.groupBy(key, label).agg(
+        F.max(F.when(own & (F.col("points") > 1), F.col("total") / (F.col("points") - 1))).alias("inner"),
+        F.min(F.when(~own, F.col("total") / F.col("points"))).alias("outer"),
+    )
+    value = F.try_divide(F.col("outer") - F.col("inner"), F.greatest("inner", "outer"))
+    # A point alone in its cluster, or with no other cluster, has silhouette 0.
+    return means.select(key, label, F.coalesce(value, F.lit(0.0)).alias("silhouette"))
 
 
 def _distance_sums(here: np.ndarray, there: np.ndarray, block: int = 1024) -> np.ndarray:
@@ -214,14 +197,13 @@ def _distance_sums(here: np.ndarray, there: np.ndarray, block: int = 1024) -> np
 def k_sweep(
     features: DataFrame,
     k_range: Iterable[int] = range(2, 9),
-    starts: int = 3,
+    starts: int = 10,
     seed: int = 42,
-    reference_size: int = 16_384,
+    euclidean: bool = False,
 ) -> DataFrame:
-    """(k, inertia, silhouette, silhouette_squared): what to look at when choosing k.
+    """(k, inertia, silhouette_squared[, silhouette]): what to look at when choosing k.
 
-    Fewer starts than the final fit takes: the parallel seeding already spreads the centres, and
-    every start costs a set of passes over the customers for each k.
+    ``euclidean`` adds the silhouette on plain distance, whose time is quadratic in the customers.
     """
     spark = features.sparkSession
     vectors = feature_vectors(features).persist(StorageLevel.MEMORY_AND_DISK)
@@ -230,29 +212,12 @@ def k_sweep(
         for k in k_range:
             model = best_of_starts(vectors, k, starts, seed)
             labelled = model.transform(vectors).withColumnRenamed("prediction", "cluster")
-            mean = euclidean_silhouette(labelled, reference_size=reference_size).agg(
-                F.avg("silhouette")
-            )
-            rows.append(
-                (
-                    k,
-                    float(model.summary.trainingCost),
-                    float(mean.first()[0]),
-                    float(squared_silhouette(labelled)),
-                )
-            )
+            row = (k, float(model.summary.trainingCost), float(squared_silhouette(labelled)))
+            if euclidean:
+                mean = euclidean_silhouette(labelled).agg(F.avg("silhouette")).first()[0]
+                row = (*row, float(mean))
+            rows.append(row)
     finally:
         vectors.unpersist()
-    return spark.createDataFrame(
-        rows, "k int, inertia double, silhouette double, silhouette_squared double"
-    )
-
-
-def clustering_cost(clustered: DataFrame, columns: Sequence[str] = SCALED) -> DataFrame:
-    """Points and within-cluster sum of squares by cluster, around the cluster's mean."""
-    squares = [
-        F.var_pop(name) * F.count("*") for name in columns
-    ]
-    return clustered.groupBy("cluster").agg(
-        F.count("*").alias("points"), sum(squares[1:], squares[0]).alias("inertia")
-    )
+    schema = "k int, inertia double, silhouette_squared double"
+    return spark.createDataFrame(rows, schema + (", silhouette double" if euclidean else ""))
