@@ -51,6 +51,48 @@ def test_quotes_are_doubled_and_numbers_are_plain(spark, tmp_path):
     assert [r.customer_id for r in rows] == [None, 7]
 
 
+def test_texts_with_line_ends_are_whole_or_an_error(spark, tmp_path):
+    path = write(
+        tmp_path,
+        '1,A,"two',
+        'lines",1,2009-12-01 07:45:00,1.0,7,UK',
+        "2,B,one,1,2009-12-01 07:45:00,1.0,7,UK",
+    )
+    rows = typed(spark, path).collect()
+    assert [r.invoice_no for r in rows] == ["1", "2"] and rows[0].description == "two\nlines"
+    with pytest.raises(Exception, match="(?i)malformed"):
+        ri.coerce_types(ri.read_raw_csv(spark, path, multiline=False)).collect()
+
+
+def test_files_with_other_headers_are_an_error(spark, tmp_path):
+    write(tmp_path, "1,A,d,1,2009-12-01 07:45:00,1.0,7,UK")
+    other = HEADER.replace("Invoice,StockCode", "StockCode,Invoice")
+    (tmp_path / "second.csv").write_text(f"{other}\nCODE,99,d,1,2009-12-01 07:45:00,1.0,7,UK")
+    with pytest.raises(Exception, match="(?i)header"):
+        typed(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("12/1/2010 8:26", datetime(2010, 12, 1, 8, 26)),
+        ("12/1/2010 8:26 AM", datetime(2010, 12, 1, 8, 26)),
+        ("12/1/2010 12:05 am", datetime(2010, 12, 1, 0, 5)),
+        ("12/1/2010 8:26:09PM", datetime(2010, 12, 1, 20, 26, 9)),
+        ("12/1/10 8:26", datetime(2010, 12, 1, 8, 26)),
+        ("1/2/98", datetime(1998, 1, 2)),
+        ("13/12/2009 8:26", datetime(2009, 12, 13, 8, 26)),
+        ("2009-12-01T07:45:00", datetime(2009, 12, 1, 7, 45)),
+        ("13/13/2009 8:26", None),
+        ("12/1/2010 18:26 PM", None),
+        ("12/1/2010 25:00", None),
+    ],
+)
+def test_date_forms(spark, tmp_path, text, want):
+    path = write(tmp_path, f"1,A,d,1,{text},1.0,7,UK")
+    assert typed(spark, path).first().invoice_date == want
+
+
 def test_missing_column_is_an_error(spark, tmp_path):
     path = write(tmp_path, "1,2", header="Invoice,StockCode")
     with pytest.raises(ValueError, match="unit_price"):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 from uuid import uuid4
 
@@ -37,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir"
     )
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if app not in _local_roots:
             _local_roots[app] = tempfile.mkdtemp(prefix="tillroll-")

@@ -38,8 +38,14 @@ MISSING_TEXTS = (
 # What counts as a number; the engine's own cast also takes Java spellings such as "5d".
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
-# Month-first dates with slashes, as spreadsheets write them; rewritten to year-month-day.
-_SLASH_DATE = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})"
+# Dates with slashes, as spreadsheets write them: month first where that is a date, else day first;
+# years of two or four digits; a time of 24 hours, or of 12 with AM or PM.
+_SLASH_DATE = (
+    r"^\s*(\d{1,2})/(\d{1,2})/(\d{4}|\d{2})"
+    r"(?:[ T]+(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([AaPp][Mm])?)?\s*$"
+)
+# Two-digit years below this are of this century.
+_PIVOT_YEAR = 69
 
 
 def read_raw_csv(
@@ -47,13 +53,18 @@ def read_raw_csv(
     path: str,
     columns: Mapping[str, str] = SOURCE_COLUMNS,
     encoding: str = SOURCE_ENCODING,
+    multiline: bool = True,
 ) -> DataFrame:
     """All columns as text, located by header name. Types come later, so no inference pass.
 
-    A quote inside a quoted text is doubled. Rows end at line ends, so that large files split.
+    A quote inside a quoted text is doubled. With ``multiline`` a quoted text may hold line ends, and
+    files are read side by side, each whole. Without, rows end at line ends, so that one huge file
+    splits; a record that then lacks fields, as one cut inside quotes does, is an error. Files whose
+    headers differ from the first one's are an error as well.
     """
-    options = {"header": True, "encoding": encoding, "escape": '"'}
-    raw = spark.read.options(**options).csv(path)
+    options = {"header": True, "encoding": encoding, "escape": '"', "enforceSchema": False}
+    mode = "PERMISSIVE" if multiline else "FAILFAST"
+    raw = spark.read.options(**options, multiLine=multiline, mode=mode).csv(path)
     return select_source_columns(raw, columns)
 
 
@@ -83,8 +94,26 @@ def _whole_number(name: str) -> Column:
 
 
 def _date_time(name: str) -> Column:
-    iso = F.regexp_replace(name, _SLASH_DATE, "$3-$1-$2")
-    return iso.try_cast("timestamp_ntz")
+    def part(i: int) -> Column:
+        return F.coalesce(F.regexp_extract(name, _SLASH_DATE, i).try_cast("int"), F.lit(0))
+
+    year = F.when(
+        F.length(F.regexp_extract(name, _SLASH_DATE, 3)) == 2,
+        part(3) + F.when(part(3) < _PIVOT_YEAR, 2000).otherwise(1900),
+    ).otherwise(part(3))
+    half = F.lower(F.regexp_extract(name, _SLASH_DATE, 7))
+    hour = (
+        F.when((half != "") & ~part(4).between(1, 12), F.lit(None))
+        .when(half == "pm", part(4) % 12 + 12)
+        .when(half == "am", part(4) % 12)
+        .otherwise(part(4))
+    )
+    rest = (hour, part(5), part(6).cast("decimal(16,6)"))
+    return F.coalesce(
+        F.col(name).try_cast("timestamp_ntz"),
+        F.try_make_timestamp_ntz(year, part(1), part(2), *rest),
+        F.try_make_timestamp_ntz(year, part(2), part(1), *rest),
+    )
 
 
 def coerce_types(raw: DataFrame) -> DataFrame:

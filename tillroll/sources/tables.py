@@ -13,17 +13,14 @@ MONTH = "invoice_month"
 VERSION = "version"
 
 
-def append_facts(df: DataFrame, path: str, by_month_already: bool = False) -> None:
+def append_facts(df: DataFrame, path: str) -> None:
     """Append one load, in folders by invoice month. Loading twice stores the rows twice.
 
     The rebalance hint gathers each month before the write, so that a task does not open a file
-    for every month, and lets adaptive execution split a month that is too large for one task. A
-    source whose files each cover a few months needs no such shuffle: say ``by_month_already``.
-    Rows are ordered by date inside a file, which lets day ranges skip row groups too.
+    for every month, and lets adaptive execution split a month that is too large for one task. Rows are
+    ordered by date inside a file, which lets day ranges skip row groups too.
     """
-    rows = df.withColumn(MONTH, F.trunc("invoice_date", "month"))
-    if not by_month_already:
-        rows = rows.hint("rebalance", MONTH)
+    rows = df.withColumn(MONTH, F.trunc("invoice_date", "month")).hint("rebalance", MONTH)
     (
         rows.sortWithinPartitions(MONTH, "invoice_date")
         .write.mode("append")
