@@ -6,11 +6,15 @@
 2. Documents that share a band key form a bucket. At similarity 0.75 two documents share one with
    probability 1 - (1 - 0.75**4)**32 = 1 - 5e-6, and likelier above.
 3. In each bucket all are held against its first document. The XOR of two odd sketches has about
-   BITS / 2 * (1 - exp(-4 * SAMPLES * (1 - J) / BITS)) bits; pairs far beyond what 0.75 gives are
+   bits / 2 * (1 - exp(-4 * samples * (1 - J) / bits)) bits; pairs far beyond what 0.75 gives are
    dropped, the others are confirmed on the full sets. Linked documents are joined to components.
-4. What is left to find are links between different components of one bucket. All such pairs are
-   held against each other by sketch within the join, so only likely ones come out of it, and are
-   confirmed on the full sets. Pairs inside a component need no test: they cannot change the result.
+4. What is left to find are links between different components of one bucket. The documents of such
+   buckets get an odd sketch of ``FINE_SAMPLES`` samples, whose estimate is within 0.06 of the truth
+   for all but one pair in ten million. All pairs are held against each other by both sketches inside
+   the join, so only those at the edge of 0.75 or above come out of it, and are confirmed on the full
+   sets. Pairs inside a component need no test: they cannot change the result.
+
+The texts of all documents are shuffled once, to pick those that share a bucket with another.
 
 A group of thousands of near copies thus costs one pair for each member, not one for each pair. Nothing
 is capped: every banded pair between different components is tested.
@@ -39,14 +43,17 @@ PERCENT = 75
 BANDS, ROWS = 32, 4
 SAMPLES = BANDS * ROWS
 BITS = 512
-LONGS = BITS // 64
-#: Pairs whose sketches point to a similarity below this are not confirmed: some five standard
+FINE_SAMPLES, FINE_BITS = 2048, 4096
+#: Pairs whose sketches point to a similarity below these are not confirmed: some five standard
 #: deviations under 0.75.
 LEAST_LIKELY = 0.45
+FINE_LEAST_LIKELY = 0.69
 #: Documents confirmed against one copy of another document's set.
 GROUP = 256
 
-_SKETCH = [f"s{i}" for i in range(LONGS)]
+_SKETCH = [f"s{i}" for i in range(BITS // 64)]
+_FINE = [f"f{i}" for i in range(FINE_BITS // 64)]
+_MEMBER = ["rep", "bands", *_SKETCH, *_FINE]
 
 
 def shingle_sets(texts: pa.Array, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -70,6 +77,29 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 
 
+def minhashes(hashes: np.ndarray, spans: np.ndarray, samples: int) -> Iterator[np.ndarray]:
+    """Sample by sample, the least of each text's hashes under another order; 0 for an empty set."""
+    flip = W.random_words(samples, 71)
+    factor = W.random_words(samples, 72) | np.uint64(1)
+    full = np.flatnonzero(np.diff(spans))
+    begins = spans[:-1][full]
+    scratch = np.empty_like(hashes)
+    for i in range(samples):
+        least = np.zeros(len(spans) - 1, np.uint64)
+        if len(full):
+            np.bitwise_xor(hashes, flip[i], out=scratch)
+            np.multiply(scratch, factor[i], out=scratch)
+            least[full] = np.minimum.reduceat(scratch, begins)
+        yield least
+
+
+def fold(bits: np.ndarray, sample: np.ndarray, salt: np.uint64) -> None:
+    """Flip one bit of each text's sketch (a row of ``bits``) where the sample says."""
+    place = W.mix(sample ^ salt) % np.uint64(bits.shape[1] * 64)
+    at = (place >> np.uint64(6)).astype(np.int64)
+    bits[np.arange(len(bits)), at] ^= np.uint64(1) << (place & np.uint64(63))
+
+
 def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, n, k1, k2, bands, s0...): set size, a 128-bit hash of the set, band keys, odd sketch."""
     schema = T.StructType(
@@ -84,47 +114,28 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flip = W.random_words(SAMPLES, 71)
-        factor = W.random_words(SAMPLES, 72) | np.uint64(1)
         salt = W.random_words(SAMPLES, 73)
         for batch in batches:
             for block in W.blocks(batch, "text"):
                 hashes, _, spans = shingle_sets(block.column("text"))
-                n = np.diff(spans)
-                full = np.flatnonzero(n)
-                samples = np.zeros((SAMPLES, block.num_rows), np.uint64)
-                bits = np.zeros((block.num_rows, LONGS), np.uint64)
-                if len(full):
-                    begins = spans[:-1][full]
-                    scratch = np.empty_like(hashes)
-                    for i in range(SAMPLES):
-                        np.bitwise_xor(hashes, flip[i], out=scratch)
-                        np.multiply(scratch, factor[i], out=scratch)
-                        samples[i, full] = np.minimum.reduceat(scratch, begins)
-                    for i in range(SAMPLES):
-                        place = W.mix(samples[i, full] ^ salt[i]) % np.uint64(BITS)
-                        bits[full, (place >> np.uint64(6)).astype(np.int64)] ^= np.uint64(1) << (
-                            place & np.uint64(63)
-                        )
-                keys = np.zeros((block.num_rows, BANDS), np.uint64)
-                for band in range(BANDS):
-                    value = np.full(block.num_rows, band, np.uint64)
-                    for i in range(band * ROWS, band * ROWS + ROWS):
-                        value = W.mix(value ^ samples[i])
-                    keys[:, band] = value
+                rows = block.num_rows
+                bits = np.zeros((rows, len(_SKETCH)), np.uint64)
+                keys = np.tile(np.arange(BANDS, dtype=np.uint64), (rows, 1))
+                for i, sample in enumerate(minhashes(hashes, spans, SAMPLES)):
+                    fold(bits, sample, salt[i])
+                    keys[:, i // ROWS] = W.mix(keys[:, i // ROWS] ^ sample)
                 sums = [W.sums_by_row(W.mix(hashes ^ np.uint64(c)), spans) for c in (0x1F, 0xA5C3)]
                 bands = pa.ListArray.from_arrays(
-                    pa.array(np.arange(block.num_rows + 1) * BANDS, pa.int32()),
-                    _signed(keys.reshape(-1)),
+                    pa.array(np.arange(rows + 1) * BANDS, pa.int32()), _signed(keys.reshape(-1))
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
                         block.column("key"),
-                        pa.array(n.astype(np.int64)),
+                        pa.array(np.diff(spans).astype(np.int64)),
                         _signed(sums[0]),
                         _signed(sums[1]),
                         bands,
-                        *[_signed(bits[:, i]) for i in range(LONGS)],
+                        *[_signed(bits[:, i]) for i in range(len(_SKETCH))],
                     ],
                     names=schema.names,
                 )
@@ -134,17 +145,44 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def most_bits(similarity: float) -> int:
-    """Bits that two documents of this similarity differ in, as expected."""
-    return math.ceil(BITS / 2 * (1 - math.exp(-4 * SAMPLES * (1 - similarity) / BITS)))
+def fine_sketches(texts: DataFrame) -> DataFrame:
+    """(doc, f0...): an odd sketch of ``FINE_SAMPLES`` samples for each of (doc, text)."""
+    schema = T.StructType(
+        [texts.schema["doc"], *[T.StructField(name, T.LongType()) for name in _FINE]]
+    )
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        salt = W.random_words(FINE_SAMPLES, 74)
+        for batch in batches:
+            for block in W.blocks(batch, "text", W.BLOCK_BYTES // 4):
+                hashes, _, spans = shingle_sets(block.column("text"))
+                bits = np.zeros((block.num_rows, len(_FINE)), np.uint64)
+                for i, sample in enumerate(minhashes(hashes, spans, FINE_SAMPLES)):
+                    fold(bits, sample, salt[i])
+                yield pa.RecordBatch.from_arrays(
+                    [block.column("doc"), *[_signed(bits[:, i]) for i in range(len(_FINE))]],
+                    names=schema.names,
+                )
+
+    return texts.select("doc", "text").mapInArrow(sketch, schema)
+
+
+def most_bits(similarity: float, samples: int = SAMPLES, bits: int = BITS) -> int:
+    """Bits that the sketches of two documents of this similarity differ in, as expected."""
+    return math.ceil(bits / 2 * (1 - math.exp(-4 * samples * (1 - similarity) / bits)))
+
+
+def _differing(a: str, b: str, names: list[str]) -> Column:
+    counts = [F.bit_count(F.col(a + s).bitwiseXOR(F.col(b + s))) for s in names]
+    return sum(counts[1:], counts[0])
 
 
 def _likely(a: str, b: str) -> Column:
-    differing = sum(
-        (F.bit_count(F.col(f"{a}{s}").bitwiseXOR(F.col(f"{b}{s}"))) for s in _SKETCH[1:]),
-        F.bit_count(F.col(f"{a}{_SKETCH[0]}").bitwiseXOR(F.col(f"{b}{_SKETCH[0]}"))),
-    )
-    return differing <= most_bits(LEAST_LIKELY)
+    return _differing(a, b, _SKETCH) <= most_bits(LEAST_LIKELY)
+
+
+def _very_likely(a: str, b: str) -> Column:
+    return _differing(a, b, _FINE) <= most_bits(FINE_LEAST_LIKELY, FINE_SAMPLES, FINE_BITS)
 
 
 def _sketches(classes: DataFrame, prefix: str) -> DataFrame:
@@ -153,8 +191,8 @@ def _sketches(classes: DataFrame, prefix: str) -> DataFrame:
     )
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full sets are similar enough.
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose full sets are similar enough; ``texts`` is (doc, text).
 
     All partners of a document meet one copy of its set, in groups of about ``GROUP``; a task holds
     two sets at a time.
@@ -163,14 +201,12 @@ def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFra
     grouped = pairs.join(counts, "a").select(
         "a", "b", F.pmod(F.xxhash64("b"), F.col("groups")).alias("g")
     )
-    # Stored, so that few of them are sent to the texts instead of the texts being shuffled.
-    roles = stored(
+    roles = (
         grouped.select(F.col("a").alias("doc"), "a", "g", F.lit(0).alias("role"))
         .distinct()
-        .unionByName(grouped.select(F.col("b").alias("doc"), "a", "g", F.lit(1).alias("role"))),
-        "pair-roles",
+        .unionByName(grouped.select(F.col("b").alias("doc"), "a", "g", F.lit(1).alias("role")))
     )
-    kind = docs.schema[key].dataType
+    kind = texts.schema["doc"].dataType
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,9 +239,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFra
                     names=["a", "b"],
                 )
 
-    texts = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"))
     return (
-        texts.join(roles, "doc")
+        texts.join(roles.hint("merge"), "doc")
         .select("a", "g", "role", "doc", "text")
         .repartition("a", "g")
         .sortWithinPartitions("a", "g", "role")
@@ -278,6 +313,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         buckets.join(shared, "bucket").filter("rep != leader").select("bucket", "rep", "leader", "size"),
         "bucket-members",
     )
+    # Their number follows that of the documents: both sides are shuffled at any size.
+    together = (
+        members.select(F.col("rep").alias("doc"))
+        .unionByName(members.select(F.col("leader").alias("doc")))
+        .distinct()
+        .hint("merge")
+    )
+    texts = stored(
+        docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text")).join(
+            together, "doc"
+        ),
+        "bucket-texts",
+    )
     to_leader = (
         members.select("leader", "rep")
         .distinct()
@@ -286,7 +334,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .filter(_likely("a_", "b_"))
         .select(F.col("leader").alias("a"), F.col("rep").alias("b"))
     )
-    links = stored(confirmed(stored(to_leader, "pairs"), docs, key, text), "links")
+    links = stored(confirmed(stored(to_leader, "pairs"), texts), "links")
     found = components(links)
 
     labelled = (
@@ -302,29 +350,42 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .filter("n > 1")
         .select("bucket", "largest")
     )
-    rest = labelled.join(mixed, "bucket").join(_sketches(classes, "a_"), F.col("rep") == F.col("a_rep"))
-    rest = stored(rest.select("bucket", "component", "largest", "a_rep", *[f"a_{s}" for s in _SKETCH]), "mixed")
-    others = rest.select(
+    rest = stored(labelled.join(mixed, "bucket"), "mixed-buckets")
+    fine = fine_sketches(
+        texts.join(rest.select(F.col("rep").alias("doc")).distinct().hint("merge"), "doc")
+    ).groupBy("doc").agg(*[F.min(f).alias(f) for f in _FINE])
+    sketched = stored(
+        fine.join(classes, F.col("doc") == F.col("rep")).select(*_MEMBER), "fine-sketches"
+    )
+    rows = rest.join(sketched, "rep").select(
         "bucket",
-        F.col("component").alias("b_component"),
-        F.col("a_rep").alias("b_rep"),
-        *[F.col(f"a_{s}").alias(f"b_{s}") for s in _SKETCH],
+        F.col("component").alias("a_component"),
+        "largest",
+        *[F.col(c).alias(f"a_{c}") for c in _MEMBER],
     )
+    others = rows.select(
+        F.col("bucket").alias("b_bucket"),
+        F.col("a_component").alias("b_component"),
+        *[F.col(f"a_{c}").alias(f"b_{c}") for c in _MEMBER],
+    )
+    # A pair comes out of its first common bucket only. Were one of the two its leader, the pair would
+    # have been tested before.
     across = (
-        rest.filter("component != largest")
+        rows.filter("a_component != largest")
         .join(
             others,
-            (rest["bucket"] == others["bucket"])
-            & (F.col("component") != F.col("b_component"))
+            (F.col("bucket") == F.col("b_bucket"))
+            & (F.col("a_component") != F.col("b_component"))
             & ((F.col("b_component") == F.col("largest")) | (F.col("a_rep") < F.col("b_rep")))
-            & _likely("a_", "b_"),
+            & _likely("a_", "b_")
+            & _very_likely("a_", "b_")
+            & (F.array_intersect("a_bands", "b_bands")[0] == F.col("bucket")),
         )
         .select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b"))
-        .distinct()
     )
     across = stored(across, "pairs")
     if not across.isEmpty():
-        more = confirmed(across, docs, key, text)
+        more = confirmed(across, texts)
         found = components(
             found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
         )
@@ -342,3 +403,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             own.eqNullSafe(F.col("key")).alias("kept"),
         )
     )
+
+
+def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, that of the smallest key; of rows that share a key, that with the
+    least text. Rows with a null key all stay. The columns are those of ``docs``."""
+    found = stored(near_duplicates(docs, key, text), "near-duplicates")
+    # As many keys as documents: both sides are shuffled at any size.
+    kept = found.filter(F.col("kept") & F.col(key).isNotNull()).select(key).distinct().hint("merge")
+    names = [f"`{c}`" for c in docs.columns]
+    rest = [F.col(c) for c in (f"`{text}`", *[n for n in names if n not in (f"`{key}`", f"`{text}`")])]
+    one = (
+        docs.join(kept, key, "left_semi")
+        .groupBy(key)
+        .agg(F.min(F.struct(*rest)).alias("__row"))
+        .select(*[F.col(key) if n == f"`{key}`" else F.col("__row")[n.strip("`")] for n in names])
+    )
+    return one.toDF(*docs.columns).unionByName(docs.filter(F.col(key).isNull()))
