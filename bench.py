@@ -16,6 +16,8 @@ from tillroll.session import local_session
 from tillroll.sources import testtables
 
 HEADLINE = (
+    "s1_read_raw_csv",
+    "s3_coerce_types",
     "s4_load_report",
     "v1_revenue_transactions",
     "v3_net_sales",
@@ -29,6 +31,7 @@ HEADLINE = (
     "q9_constraint_audit",
     "r1_rfm",
     "r3_scaled_features",
+    "r4_k_sweep",
     "r5_euclidean_silhouette",
     "r6_kmeans_segments",
     "r6b_assign_to_centroids",
