@@ -60,25 +60,22 @@ def headline_figures(facts: DataFrame, scores: DataFrame, top_n: int = 20) -> Da
     ``products_tracked`` is the length of the top-products report.
     """
     flagged = scores.agg(F.count_if("is_anomaly").alias("n")).scalar()
-    products = F.count_distinct("product")
+    rows = revenue_transactions(facts)
+    # Each count reads its own columns and combines before it shuffles; counted in one aggregate, every
+    # row would be repeated for each of them.
+    products = (
+        rows.select(F.upper("stock_code").alias("code"), F.upper("description").alias("description"))
+        .distinct()
+        .agg(F.count("*").alias("products"), F.count_distinct("code").alias("codes"))
+    )
+    customers = rows.select("customer_id").distinct().agg(F.count("customer_id").alias("n")).scalar()
     return (
-        revenue_transactions(facts)
-        .select(
-            line_value().alias("value"),
-            F.upper("invoice_no").alias("invoice"),
-            "customer_id",
-            F.upper("stock_code").alias("code"),
-            F.struct(
-                F.upper("stock_code").alias("code"), F.upper("description").alias("description")
-            ).alias("product"),
-        )
-        .agg(
-            F.sum("value").alias("total_revenue"),
-            F.count_distinct("invoice").alias("total_orders"),
-            F.count_distinct("customer_id").alias("distinct_customers"),
-            F.count_distinct("code").alias("distinct_products"),
-            F.least(products, F.lit(top_n)).alias("products_tracked"),
-        )
+        rows.groupBy(F.upper("invoice_no").alias("invoice"))
+        .agg(F.sum(line_value()).alias("value"))
+        .agg(F.sum("value").alias("total_revenue"), F.count("invoice").alias("total_orders"))
+        .withColumn("distinct_customers", customers)
+        .withColumn("distinct_products", products.select("codes").scalar())
+        .withColumn("products_tracked", F.least(products.select("products").scalar(), F.lit(top_n)))
         .withColumn("anomalies_flagged", flagged)
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillroll.operators import anomalies
 from tillroll.operators.isolation_forest import BAG_SIZE, SEED, TREES
@@ -27,5 +28,8 @@ def build_scores(
     raw_path = new_path(spark, "raw-scores")
     replace_table(anomalies.score_sales(facts, forest), raw_path)
     flagged = anomalies.flag_top_share(read_table(spark, raw_path), contamination=contamination)
-    replace_table(anomalies.score_table(flagged), scores_path)
+    table = anomalies.score_table(flagged).withColumn(
+        "updated_at", F.current_timestamp().cast("timestamp_ntz")
+    )
+    replace_table(table, scores_path)
     return read_table(spark, scores_path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillroll.operators.clustering import fit_clusters
 from tillroll.operators.rfm import rfm, scaled_features
@@ -27,5 +28,11 @@ def build_segments(
     """
     features = scaled_features(_stored(rfm(facts), "rfm"))
     clustered = _stored(fit_clusters(features, k, starts, seed), "clustered")
-    replace_table(segment_table(label_segments(clustered)), segments_path)
+    table = segment_table(label_segments(clustered)).withColumns(
+        {
+            "monetary": F.col("monetary").cast("decimal(12,2)"),
+            "updated_at": F.current_timestamp().cast("timestamp_ntz"),
+        }
+    )
+    replace_table(table, segments_path)
     return read_table(facts.sparkSession, segments_path)

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import StructType
 
 MONTH = "invoice_month"
 VERSION = "version"
@@ -49,24 +49,24 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _current_version(spark: SparkSession, path: str) -> int:
-    if not table_exists(spark, path):
-        return 0
-    return read_table(spark, path).agg(F.max(VERSION)).first()[0] or 0
+    """The last version whose write was committed, as its marker tells; 0 where there is none."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    marked = files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSION}=*/_SUCCESS"))
+    folders = [status.getPath().getParent().getName() for status in marked or ()]
+    return max((int(name.removeprefix(f"{VERSION}=")) for name in folders), default=0)
 
 
 def append_version(df: DataFrame, path: str) -> None:
     """Save the next state of a table that is computed from its last one, beside the older ones.
 
-    Nothing is overwritten, so ``df`` may read from ``path``, and a failed write leaves the last
-    state in force.
+    ``df`` may read from ``path``. A version counts once its write has left the marker that Spark
+    leaves last; one that failed halfway is not seen, and the next save replaces it. One writer at a
+    time.
     """
     version = _current_version(df.sparkSession, path) + 1
-    (
-        df.withColumn(VERSION, F.lit(version))
-        .write.mode("append")
-        .partitionBy(VERSION)
-        .parquet(path)
-    )
+    df.write.mode("overwrite").parquet(f"{path}/{VERSION}={version}")
 
 
 def read_last_version(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -74,9 +74,7 @@ def read_last_version(spark: SparkSession, path: str, schema: StructType) -> Dat
     version = _current_version(spark, path)
     if version == 0:
         return spark.createDataFrame([], schema)
-    versions = StructType(list(schema.fields)).add(VERSION, IntegerType())
-    saved = spark.read.schema(versions).parquet(path)
-    return saved.filter(F.col(VERSION) == version).drop(VERSION)
+    return spark.read.schema(schema).parquet(f"{path}/{VERSION}={version}")
 
 
 def _moment(value: str | date | datetime) -> Column:
