@@ -100,9 +100,7 @@ class WordTokenizer:
         finish = inside.copy()
         finish[:-1] &= begin[1:] | ~inside[1:] | edge[1:n]
         starts, ends = np.flatnonzero(begin), np.flatnonzero(finish) + 1
-        total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(value * W._power("up", W._BASE, n), out=total[1:])
-        hashes = W.mix((total[ends] - total[starts]) * W._power("down", W._BASE_INVERSE, n)[starts])
+        hashes = W.hashes_between(value, starts, ends)
         is_odd = np.zeros(len(starts), dtype=bool)
         is_odd[np.searchsorted(starts, odd_start)] = True
         hashes[is_odd] ^= np.uint64(0x5851F42D4C957F2D)

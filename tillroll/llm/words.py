@@ -111,6 +111,14 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def hashes_between(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the run of ``values`` from each start to each end, the same wherever the run stands."""
+    n = len(values)
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(values * _power("up", _BASE, n), out=total[1:])
+    return mix((total[ends] - total[starts]) * _power("down", _BASE_INVERSE, n)[starts])
+
+
 def words_of(texts: pa.Array, letters: Alphabet) -> Words:
     data, offsets = text_bytes(texts)
     n = len(data)
@@ -123,9 +131,7 @@ def words_of(texts: pa.Array, letters: Alphabet) -> Words:
     finish[:-1] &= ~inside[1:] | edge[1:n]
     starts = np.flatnonzero(begin)
     ends = np.flatnonzero(finish) + 1
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(letters.value[data] * _power("up", _BASE, n), out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * _power("down", _BASE_INVERSE, n)[starts])
+    hashes = hashes_between(letters.value[data], starts, ends)
     first = np.searchsorted(starts, offsets)
     rows = np.repeat(np.arange(len(texts)), np.diff(first))
     return Words(data, offsets, starts, ends, hashes, first, rows)
