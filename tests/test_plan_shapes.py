@@ -11,7 +11,13 @@ EAGER = {"r4_k_sweep", "r6_kmeans_segments", "a4_anomaly_scores", "s6_append_twi
 
 
 def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan, with no part of a scan's description cut short."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
@@ -21,11 +27,7 @@ def test_no_cross_joins(spark, sf, name):
 
 
 def test_flag_filters_reach_the_scan(spark, sf):
-    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
-    try:
-        text = plan(views.revenue_transactions(testtables.facts(spark, sf)))
-    finally:
-        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    text = plan(views.revenue_transactions(testtables.facts(spark, sf)))
     pushed = text[text.index("PushedFilters") :]
     for flag in ("is_non_product", "is_invalid_price", "is_stock_adjustment"):
         assert f"EqualTo({flag},true)" in pushed
