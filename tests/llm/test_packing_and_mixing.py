@@ -54,9 +54,7 @@ def expected_pieces(text, tokenizer):
 def tokenizer():
     from tokenizers import Tokenizer
 
-    made = Tokenizer.from_file(tokenizer_path())
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(tokenizer_path())
 
 
 def test_pieces_are_the_tokenizers(spark, sf, awkward, tokenizer):
@@ -75,16 +73,27 @@ def test_pieces_are_the_tokenizers(spark, sf, awkward, tokenizer):
     assert len(ends) == best_fit_decreasing([r.length for r in got], 4096)
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.text(alphabet=st.characters(codec="utf-8"), max_size=60))
-def test_any_text_encodes_as_a_whole(text):
+_PARTS = st.one_of(
+    st.text(alphabet=st.characters(codec="utf-8"), max_size=60),
+    st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "don't", " "]),
+)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(_PARTS, max_size=4).map("".join), max_size=4))
+def test_any_text_encodes_as_a_whole(tokenizer, texts):
+    import pyarrow as pa
+
+    flat, first = _OWN.ids(pa.array(texts, pa.string()))
+    for i, text in enumerate(texts):
+        assert flat[first[i] : first[i + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_spelled_special_tokens_are_special(tokenizer):
     import pyarrow as pa
-    from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(tokenizer_path())
-    whole.encode_special_tokens = True
-    found, _ = _OWN.ids(pa.array([text]))
-    assert found.tolist() == whole.encode(text, add_special_tokens=False).ids
+    flat, _ = _OWN.ids(pa.array(["<|endoftext|> hi"]))
+    assert flat.tolist() == [49407, 1883] == tokenizer.encode("<|endoftext|> hi", add_special_tokens=False).ids
 
 
 _OWN = tokens.WordTokenizer(tokenizer_path())

@@ -4,7 +4,8 @@ A text's ids are the tokenizer's own. Since the tokenizer drops white space and
 between as independent, each distinct run of letters, digit or run of signs is encoded once per
 worker and looked up afterwards; stretches with anything unusual in them (an apostrophe, which can
 begin a contraction, control characters, letters beyond Latin-1) are encoded as they stand, by the
-whole tokenizer.
+whole tokenizer. So are whole texts in which a special token is spelled out: the tokenizer gives such
+a string the special token's id.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +39,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self._whole = Tokenizer.from_file(path)
-        self._whole.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self._whole.get_added_tokens_decoder().values()
+        self._special = [token.content for token in added]
         self._model = self._whole.model
         self._bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         code = np.arange(256)
@@ -120,6 +123,27 @@ class WordTokenizer:
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids end to end, and where each text's begin (one more entry: the end)."""
+        spelled = np.zeros(len(texts), dtype=bool)
+        for token in self._special:
+            found = pc.fill_null(pc.match_substring(texts, token), False)
+            spelled |= found.to_numpy(zero_copy_only=False)
+        if not spelled.any():
+            return self._ids_of(texts)
+        flat, first = self._ids_of(pc.if_else(pa.array(spelled), pa.scalar("", texts.type), texts))
+        length = np.diff(first)
+        whole = [
+            np.array(self._whole.encode(text.as_py(), add_special_tokens=False).ids, np.uint32)
+            for text in texts.filter(pa.array(spelled))
+        ]
+        length[spelled] = [len(ids) for ids in whole]
+        first = np.append(0, np.cumsum(length))
+        every = np.empty(first[-1], np.uint32)
+        from_whole = np.repeat(spelled, length)
+        every[~from_whole] = flat
+        every[from_whole] = np.concatenate(whole)
+        return every, first
+
+    def _ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, starts, ends, hashes, is_odd, first = self._runs(texts)
         distinct, example, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self._known) > REMEMBERED:
@@ -157,7 +181,8 @@ def token_pieces(
     A document's ids are its text's followed by ``end_id``, so an empty or null text has one. Ids
     are cut only where a document is longer than ``max_tokens``. ``ids_crc32`` is over the ids as
     little-endian 32-bit numbers. Repeated rows give repeated pieces; other columns are ignored; an
-    empty table gives no pieces. Strings that spell special tokens are ordinary text.
+    empty table gives no pieces. A string that spells a special token is that token, as the
+    tokenizer has it.
     """
     kind = docs.schema[key].dataType
     fields = [
