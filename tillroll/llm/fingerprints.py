@@ -28,6 +28,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SAMPLES = 128
 
 _SOME = 512  # words that draw at a time, so that their numbers stay in cache
+_TERMS = 8192  # distinct words whose draws are held at a time
 _SCALE = np.float64(2.0**-32)
 
 
@@ -53,27 +54,39 @@ def _draws(terms: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def codes_of(texts: pa.Array, samples: int = SAMPLES) -> np.ndarray:
-    """16 bits for each text and sample; 0 throughout for a text without words, else never 0."""
+    """16 bits for each text and sample; 0 throughout for a text without words, else never 0.
+
+    The words are gone through ``_TERMS`` at a time, with each text's least score so far, so the
+    draws held do not grow with the number of different words.
+    """
     words = W.words_of(texts, W.alphabet())
     rows, hashes, times = W.distinct_by_row(words.rows, words.hashes)
-    spans = W.row_spans(rows, len(texts))
+    del words
     terms, which = np.unique(hashes, return_inverse=True)
-    r, score, beta = _draws(terms, samples)
-    weight = np.log(times.astype(np.float64)).astype(np.float32)[:, None]
+    weight = np.log(times.astype(np.float64)).astype(np.float32)
+    del hashes, times
+    least = np.full((len(texts), samples), np.inf, np.float32)
     codes = np.zeros((len(texts), samples), np.uint16)
     every = np.arange(samples)
-    for i in range(len(texts)):
-        a, b = spans[i], spans[i + 1]
-        if a == b:
-            continue
-        own = which[a:b]
-        step, shift = r[own], beta[own]
-        t = np.floor(weight[a:b] / step + shift)
-        value = score[own] - step * (t - shift)
-        best = value.argmin(axis=0)
-        mark = t[best, every].astype(np.int64).view(np.uint64)
-        sample = W.mix(terms[own[best]] ^ (mark * np.uint64(0xD1342543DE82EF95)))
-        codes[i] = (sample % np.uint64(65535)).astype(np.uint16) + 1
+    for first in range(0, len(terms), _TERMS):
+        some = terms[first : first + _TERMS]
+        r, score, beta = _draws(some, samples)
+        held = np.flatnonzero((which >= first) & (which < first + _TERMS))
+        spans = W.row_spans(rows[held], len(texts))
+        for i in np.flatnonzero(np.diff(spans)).tolist():
+            mine = held[spans[i] : spans[i + 1]]
+            own = which[mine] - first
+            step, shift = r[own], beta[own]
+            t = np.floor(weight[mine, None] / step + shift)
+            value = score[own] - step * (t - shift)
+            best = value.argmin(axis=0)
+            low = value[best, every]
+            better = np.flatnonzero(low < least[i])
+            least[i, better] = low[better]
+            best = best[better]
+            mark = t[best, better].astype(np.int64).view(np.uint64)
+            sample = W.mix(some[own[best]] ^ (mark * np.uint64(0xD1342543DE82EF95)))
+            codes[i, better] = (sample % np.uint64(65535)).astype(np.uint16) + 1
     return codes
 
 

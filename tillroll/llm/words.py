@@ -84,18 +84,19 @@ class Words(NamedTuple):
     rows: np.ndarray
 
 
-_powers: dict[str, np.ndarray] = {}
+#: Bytes whose hashes are summed up at a time.
+_STRIDE = 1 << 16
+_powers: dict[int, np.ndarray] = {}
 
 
-def _power(kind: str, base: int, n: int) -> np.ndarray:
-    have = _powers.get(kind)
+def _power(base: int, n: int) -> np.ndarray:
+    """``base`` to the powers 0 to n - 1; ``n`` is at most ``_STRIDE``."""
+    have = _powers.get(base)
     if have is None or len(have) < n:
-        steps = np.full(n, base, dtype=np.uint64)
-        if n:
-            steps[0] = 1
-        have = np.cumprod(steps, dtype=np.uint64)
-        if n <= 2 * BLOCK_BYTES:  # the powers for one very long text are not kept
-            _powers[kind] = have
+        size = min(_STRIDE, max(n, 1 << 14, 2 * (0 if have is None else len(have))))
+        steps = np.full(size, base, dtype=np.uint64)
+        steps[0] = 1
+        have = _powers[base] = np.cumprod(steps, dtype=np.uint64)
     return have[:n]
 
 
@@ -111,12 +112,34 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def hashes_between(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of the run of ``values`` from each start to each end, the same wherever the run stands."""
-    n = len(values)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(values * _power("up", _BASE, n), out=total[1:])
-    return mix((total[ends] - total[starts]) * _power("down", _BASE_INVERSE, n)[starts])
+def hashes_between(
+    values: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray | None = None
+) -> np.ndarray:
+    """A hash of the run of ``values`` from each start to each end, the same wherever the run stands.
+
+    Runs are in ascending order and do not overlap. With ``table``, the run is of its entries at
+    ``values``. The sums are taken stride by stride, so memory beside the arguments follows the
+    number of runs.
+    """
+    at_start = np.zeros(len(starts), np.uint64)
+    at_end = np.zeros(len(starts), np.uint64)
+    down = np.zeros(len(starts), np.uint64)
+    total = np.zeros(1, np.uint64)
+    for a in range(0, len(values), _STRIDE):
+        part = values[a : a + _STRIDE]
+        n = len(part)
+        sums = np.zeros(n + 1, np.uint64)
+        own = (part if table is None else table[part]) * _power(_BASE, n)
+        np.cumsum(own * np.uint64(pow(_BASE, a, 1 << 64)), out=sums[1:])
+        sums += total
+        total = sums[n:].copy()
+        i, j = np.searchsorted(starts, (a, a + n))
+        at_start[i:j] = sums[starts[i:j] - a]
+        back = np.uint64(pow(_BASE_INVERSE, a, 1 << 64))
+        down[i:j] = _power(_BASE_INVERSE, n)[starts[i:j] - a] * back
+        i, j = np.searchsorted(ends, (a, a + n), side="right")
+        at_end[i:j] = sums[ends[i:j] - a]
+    return mix((at_end - at_start) * down)
 
 
 def words_of(texts: pa.Array, letters: Alphabet) -> Words:
@@ -131,7 +154,7 @@ def words_of(texts: pa.Array, letters: Alphabet) -> Words:
     finish[:-1] &= ~inside[1:] | edge[1:n]
     starts = np.flatnonzero(begin)
     ends = np.flatnonzero(finish) + 1
-    hashes = hashes_between(letters.value[data], starts, ends)
+    hashes = hashes_between(data, starts, ends, letters.value)
     first = np.searchsorted(starts, offsets)
     rows = np.repeat(np.arange(len(texts)), np.diff(first))
     return Words(data, offsets, starts, ends, hashes, first, rows)
