@@ -6,7 +6,7 @@ and in the end count(word) / words. A document's score is the sum of the scores'
 
 The join is laid out so that n-grams travel once, as hashes:
 
-1. Documents are dealt into chunks of some megabytes. A chunk's distinct n-grams of all orders, with
+1. Documents are dealt into chunks of some megabytes, each text compressed by itself. A chunk's distinct n-grams of all orders, with
    their counts, are sorted by hash and cut at fixed bounds of the hash range, so that each of the
    count table's partitions gets one packet from each chunk. A frequent n-gram is one entry of a
    packet, however often it occurs.
@@ -14,17 +14,20 @@ The join is laid out so that n-grams travel once, as hashes:
    with it: the answer lists the counts in the packet's order.
 3. Chunks meet their answers; n-grams find their counts by rank, and scores are summed per document.
 
-Chunks and partitions are bounded by the parameters; their numbers follow the corpus.
+Chunks and partitions are bounded by the parameters; their numbers follow the corpus. N-grams are
+told apart by 64 bits of hash at every size.
 """
 
 from __future__ import annotations
 
 import math
 import sys
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,21 +56,54 @@ class Entries(NamedTuple):
     first: np.ndarray
 
 
-def entries_of(table: pa.Table, order: int, bits: int) -> Entries:
-    """``bits``: how much of a hash is kept."""
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each ``text`` as Zstandard bytes, for the one time that texts are dealt out; ``size``: its own."""
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        for block in W.blocks(batch, "text"):
+            texts = block.column("text")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    block.column("key"),
+                    pa.array([pack(text.as_buffer()) for text in texts], pa.binary()),
+                    pc.binary_length(texts).cast(pa.int64()),
+                    block.column("chunk"),
+                ],
+                names=["key", "text", "size", "chunk"],
+            )
+
+
+def _texts(table: pa.Table) -> Iterator[pa.Array]:
+    """What ``_compressed`` packed, about ``BLOCK_BYTES`` of it at a time."""
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    block, held = [], 0
+    for packed, size in zip(table.column("text"), table.column("size").to_pylist(), strict=True):
+        if block and held + size > W.BLOCK_BYTES:
+            yield pa.array(block, pa.large_binary()).cast(pa.large_string())
+            block, held = [], 0
+        block.append(unpack(packed.as_buffer()))
+        held += size
+    if block:
+        yield pa.array(block, pa.large_binary()).cast(pa.large_string())
+
+
+def entries_of(texts: Iterable[pa.Array], order: int) -> Entries:
     letters = W.alphabet(lower=True)
     found: list[list[np.ndarray]] = [[] for _ in range(order)]
     places: list[list[np.ndarray]] = [[] for _ in range(order)]
     first, n = [np.zeros(1, np.int64)], 0
-    for batch in table.select(["text"]).to_batches():
-        for block in W.blocks(batch, "text"):
-            words = W.words_of(block.column("text"), letters)
-            for k in range(order):
-                hashes, at = W.windows(words, k + 1)
-                found[k].append(hashes >> np.uint64(64 - bits))
-                places[k].append(at + (n + k))
-            first.append(words.first[1:] + n)
-            n += len(words.hashes)
+    for block in texts:
+        words = W.words_of(block, letters)
+        for k in range(order):
+            hashes, at = W.windows(words, k + 1)
+            found[k].append(hashes)
+            places[k].append(at + (n + k))
+        first.append(words.first[1:] + n)
+        n += len(words.hashes)
     own = [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in found]
     hashes, which, counts = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
     at, begin = [], 0
@@ -80,9 +116,9 @@ def entries_of(table: pa.Table, order: int, bits: int) -> Entries:
     return Entries(hashes, counts, at, np.concatenate(first))
 
 
-def _bounds(partitions: int, bits: int) -> np.ndarray:
-    """Where each partition of the hash range begins; ``partitions`` is a power of two."""
-    return np.arange(partitions, dtype=np.uint64) * np.uint64((1 << bits) // partitions)
+def _bounds(partitions: int) -> np.ndarray:
+    """Where each partition of the hash range begins; ``partitions`` is a power of two above 1."""
+    return np.arange(partitions, dtype=np.uint64) * np.uint64((1 << 64) // partitions)
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -135,30 +171,39 @@ def score_documents(
     """(key, n_words, n_by_order, log_score, mean_log_score), one row for each of ``docs``.
 
     Words stand between ASCII white space, A-Z in lower case. N-grams do not cross documents; counts
-    cover all documents. ``n_by_order[i]``: words whose score came from order i + 1. ``log_score``:
+    cover all documents and tell n-grams apart by 64-bit hashes. ``n_by_order[i]``: words whose score came from order i + 1. ``log_score``:
     sum of natural logarithms, 0 without words; ``mean_log_score``: null without words. Null texts
     are empty; repeated rows count and are scored each; other columns are ignored.
     """
-    # Chunks and partitions so that a packet keeps some dozens of n-grams at any size of corpus.
+    # From a terabyte on chunks grow as well, so that packets do not thin out as fast.
     mb = text_mb(docs, text)
     chunk = max(chunk_mb, chunk_mb * math.sqrt(mb / 1e6))
     chunks = max(1, math.ceil(mb / chunk))
     n_grams = mb * 1e6 / 6 * order
     partitions = 1 << max(3, math.ceil(math.log2(max(1.0, n_grams / partition_n_grams))))
 
-    # So many bits that less than one pair of n-grams is expected to share a hash, up to 64.
-    bits = min(64, max(40, 2 * math.ceil(math.log2(max(2.0, n_grams)))))
-
     kind = docs.schema[key].dataType
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    dealt = rows.withColumn(
-        "chunk", F.pmod(F.xxhash64("key", F.xxhash64("text")), F.lit(chunks)).cast("long")
-    ).repartition(chunks, "chunk")
+    dealt = (
+        rows.withColumn("chunk", F.pmod(F.xxhash64("key", F.xxhash64("text")), F.lit(chunks)).cast("long"))
+        .mapInArrow(
+            _compressed,
+            T.StructType(
+                [
+                    T.StructField("key", kind),
+                    T.StructField("text", T.BinaryType()),
+                    T.StructField("size", T.LongType()),
+                    T.StructField("chunk", T.LongType()),
+                ]
+            ),
+        )
+        .repartition(chunks, "chunk")
+    )
 
     def send(group: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.sort_by([("key", "ascending")])
-        found = entries_of(table, order, bits)
-        cuts = np.append(np.searchsorted(found.hashes, _bounds(partitions, bits)), len(found.hashes))
+        found = entries_of(_texts(table), order)
+        cuts = np.append(np.searchsorted(found.hashes, _bounds(partitions)), len(found.hashes))
         own = [i for i in range(partitions) if cuts[i] < cuts[i + 1]]
         return pa.table(
             [
@@ -201,7 +246,7 @@ def score_documents(
 
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
         table = table.sort_by([("key", "ascending")])
-        found = entries_of(table, order, bits)
+        found = entries_of(_texts(table), order)
         answers = answers.sort_by([("part", "ascending")])
         parts = [_unpacked(x) for x in answers.column("counts").to_pylist()]
         counts = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
