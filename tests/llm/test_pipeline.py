@@ -2,6 +2,7 @@ import math
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from tillroll.llm import mixing, near_dedup, quality_rules
 from tillroll.llm.frames import stored
 
@@ -71,3 +72,16 @@ def test_stages_in_order_keep_the_columns(spark, sf, split):
         assert r.offset == ends.get(r.sequence_id, 0)
         ends[r.sequence_id] = r.offset + r.length
     assert max(ends.values()) <= 4096
+
+
+def test_columns_named_like_those_of_operators_come_out_unchanged(spark, sf):
+    extra = ("kept", "n_words", "words", "copy", "score", "capitals", "rep", "shuffle_key", "text_")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    docs = docs.withColumns({name: F.concat(F.lit(name), F.col("doc_id")) for name in extra})
+    rows = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stored(stage(spark, rows, sf), name)
+        assert rows.schema.simpleString() == docs.schema.simpleString()
+        assert rows.join(docs, docs.columns, "left_anti").count() == 0
+        assert rows.count() > 0
+    assert corpus_pipeline.STAGES[-1][1](spark, rows, sf).count() > 0

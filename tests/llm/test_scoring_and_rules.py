@@ -1,6 +1,8 @@
 import hashlib
 import math
 import re
+import subprocess
+import sys
 from collections import Counter
 
 import pytest
@@ -130,6 +132,23 @@ def test_fingerprints_estimate_similarity(spark, sf, split):
     assert math.sqrt(sum((e - mean) ** 2 for e in errors) / len(errors)) < 0.06
 
 
+def test_memory_for_a_long_text_of_distinct_words():
+    """10 MB of distinct words and its edited version, in a process of their own."""
+    code = """
+import resource
+import pyarrow as pa
+from tillroll.llm import fingerprints
+text = " ".join(f"w{i}" for i in range(1_250_000))
+cut = len(text) // 3
+codes = fingerprints.codes_of(pa.array([text, text[:-cut] + text[:cut]]))
+print((codes[0] == codes[1]).mean(), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss)
+"""
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    alike, kilobytes = run.stdout.split()
+    assert 0.35 < float(alike) < 0.65  # two thirds of the words, a third of them twice: 0.5
+    assert int(kilobytes) < 500_000
+
+
 def test_fingerprints_of_awkward_rows(spark, awkward, nothing):
     got = fingerprints.edited_fingerprints(awkward).collect()
     assert len(got) == awkward.count()

@@ -34,6 +34,12 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def beside(docs: DataFrame, *names: str) -> DataFrame:
+    """The columns ``names``, and every row whole in one struct column ``__row``: operators that add
+    columns to this cannot meet those of ``docs``. ``select("__row.*")`` gives the rows back."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *names)
+
+
 def text_mb(docs: DataFrame, text: str = "text") -> float:
     """Megabytes of text, for choosing how many pieces to cut it into."""
     row = docs.agg(F.sum(F.octet_length(F.col(text)))).first()

@@ -120,6 +120,19 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % 5 == 0, F.lit(False))
 
 
+def bounded_labels(
+    labels: DataFrame, most: int, key: str = "doc_id", label: str = "quality"
+) -> DataFrame:
+    """(key, label) of the rows to learn from: those labelled and not held out, or, of more than
+    ``most``, about that many, those whose key hashes lowest."""
+    usable = labels.filter(~held_out(F.col(key)) & F.col(key).isNotNull() & F.col(label).isNotNull())
+    usable = usable.select(key, label)
+    n = usable.count()
+    if n <= most:
+        return usable
+    return usable.filter(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < (most << 40) // n)
+
+
 def learn(
     statistics: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality"
 ) -> RuleModel:
