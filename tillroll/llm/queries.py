@@ -12,6 +12,7 @@ from tillroll.llm import (
     language_id,
     license_scan,
     lm_scoring,
+    merkle,
     mixing,
     near_dedup,
     packing,
@@ -117,3 +118,9 @@ def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, repeated so that a source's share is that of the root of its size."""
     docs = read_table(spark, sf_dir, "documents")
     return mixing.replicate(docs, mixing.power_weights(docs))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof in the manifest, and whether it holds after a third were changed."""
+    return merkle.verified_rows(read_table(spark, sf_dir, "documents"))

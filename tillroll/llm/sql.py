@@ -146,3 +146,70 @@ SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, copy::BIGINT AS copy,
     ('0x' || substr(md5('20011:' || doc_id || ':' || copy), 1, 13))::BIGINT AS shuffle_key
 FROM copied JOIN documents d USING (doc_id)
 """
+
+
+def _manifest_sql(row_levels: int = 8, group_levels: int = 4) -> str:
+    """The trees level by level; up to 8 ** ``row_levels`` rows to a language."""
+    fields = " || ".join(
+        f"coalesce(strlen({x}::VARCHAR) || ':' || {x}::VARCHAR, '-')"
+        for x in ("doc_id", "source", "lang", "n_chars", "{text}")
+    )
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def levels(name: str, n: int) -> str:
+        """``name0`` (grp, pos, h) is given; the others, and each node's siblings."""
+        out = []
+        for j in range(n):
+            side = "string_agg(h, '') OVER (PARTITION BY grp, pos // 8 ORDER BY pos ROWS BETWEEN {})"
+            left = side.format("UNBOUNDED PRECEDING AND 1 PRECEDING")
+            right = side.format("1 FOLLOWING AND UNBOUNDED FOLLOWING")
+            out.append(f"""
+{name}s{j} AS (
+    SELECT grp, pos, count(*) OVER (PARTITION BY grp) > 1 AS up, h,
+        coalesce({left}, '') AS l, coalesce({right}, '') AS r
+    FROM {name}{j}
+),
+{name}{j + 1} AS (
+    SELECT grp, pos // 8 AS pos, CASE WHEN up THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h
+    FROM {name}s{j} GROUP BY grp, pos // 8, up
+)""")
+        return ",".join(out)
+
+    steps, joins, at, proof = "", "", "changed", []
+    for name, n, key, pos in (("n", row_levels, "p.grp", "p.pos"), ("t", group_levels, "0", "p.grp")):
+        for j in range(n):
+            s = f"{name}s{j}"
+            joins += f"\n    JOIN {s} ON {s}.grp = {key} AND {s}.pos = {pos} // {8**j}"
+            steps += f", CASE WHEN {s}.up THEN sha256({s}.l || {at} || {s}.r) ELSE {at} END AS {name}f{j}"
+            proof.append(f"CASE WHEN {s}.up THEN {s}.l || {s}.r ELSE '' END")
+            at = f"{name}f{j}"
+    return f"""
+WITH langs AS (
+    SELECT lang AS of_lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS grp
+    FROM (SELECT DISTINCT lang FROM documents)
+),
+hashed AS (
+    SELECT doc_id, grp, sha256({fields.replace("{text}", "text")}) AS leaf,
+        CASE WHEN xor(list_reduce(list_prepend(4294967295, range(9 * strlen(doc_id::VARCHAR))), lambda c, k:
+            CASE WHEN k % 9 = 0 THEN xor(c, ord(substr(doc_id::VARCHAR, (k // 9 + 1)::BIGINT, 1))::BIGINT)
+                WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295) % 3 = 0
+            THEN sha256({fields.replace("{text}", lower)}) END AS tampered
+    FROM documents JOIN langs ON of_lang IS NOT DISTINCT FROM lang
+),
+placed AS (
+    SELECT *, coalesce(tampered, leaf) AS changed,
+        row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+    FROM hashed
+),
+n0 AS (SELECT grp, pos, leaf AS h FROM placed),{levels("n", row_levels)},
+t0 AS (SELECT 0 AS grp, grp AS pos, h FROM n{row_levels}),{levels("t", group_levels)}
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM (
+    SELECT p.doc_id, p.leaf, top.h AS subroot, (SELECT h FROM t{group_levels}) AS root,
+        sha256({" || ".join(proof)}) AS proof_sha256{steps}, {at} AS folded_root
+    FROM placed p JOIN t0 AS top ON top.pos = p.grp{joins}
+)
+"""
+
+
+SQL["op11_merkle_manifest"] = _manifest_sql()
