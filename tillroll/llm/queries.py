@@ -18,6 +18,7 @@ from tillroll.llm import (
     packing,
     quality_rules,
     rule_classifier,
+    top_k,
     warc,
 )
 from tillroll.llm.frames import read_table
@@ -124,3 +125,10 @@ def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's proof in the manifest, and whether it holds after a third were changed."""
     return merkle.verified_rows(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best others for every hundredth vector."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return top_k.search(vectors, F.col("vec_id") % 100 == 0)

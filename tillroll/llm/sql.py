@@ -213,3 +213,21 @@ FROM (
 
 
 SQL["op11_merkle_manifest"] = _manifest_sql()
+
+SQL["op13_exact_top_k"] = """
+WITH scaled AS (
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.row AS own, q.vec_id AS query_id, c.vec_id,
+        coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), lambda i: q.v[i] * c.v[i])), 0) AS score
+    FROM scaled q JOIN scaled c ON c.row <> q.row
+    WHERE q.vec_id % 100 = 0
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score::BIGINT AS score FROM ranked WHERE rank <= 10
+"""
