@@ -28,65 +28,79 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SAMPLES = 128
 
 _SOME = 512  # words that draw at a time, so that their numbers stay in cache
-_TERMS = 8192  # distinct words whose draws are held at a time
-_SCALE = np.float64(2.0**-32)
+_TERMS = 32768  # different (word, number of times) whose draws are held at a time
+_STEP = np.uint64(0xD1342543DE82EF95)
 
 
-def _draws(terms: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """By term and sample: r, ln(c) - r and beta."""
-    r, score, beta = (np.empty((len(terms), samples), np.float32) for _ in range(3))
+def _steps(terms: np.ndarray, times: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray]:
+    """By term and sample: the score, as an integer that orders alike, above the term's place in 32
+    bits; and the step of the weight at which the term has that score."""
+    order = np.empty((len(terms), samples), np.int64)
+    step = np.empty((len(terms), samples), np.float32)
     salt = W.random_words(samples, 51)
-    low = np.uint64(0xFFFFFFFF)
+    scale, half, tiny = np.float32(2.0**-32), np.float32(0.5), np.float32(1e-9)
 
-    def uniform(bits: np.ndarray) -> np.ndarray:
-        return (bits.astype(np.float64) + 0.5) * _SCALE
+    def halves(bits: np.ndarray) -> np.ndarray:
+        """Two uniform numbers from each 64 bits, on the last axis."""
+        wide = bits.view(np.uint32).reshape(*bits.shape, 2).astype(np.float32)
+        wide += half
+        wide *= scale
+        return wide
 
+    def gamma(bits: np.ndarray) -> np.ndarray:
+        """A Gamma(2, 1) number from each 64 bits."""
+        pair = halves(bits)
+        return np.maximum(-np.log(pair[..., 0] * pair[..., 1]), tiny)
+
+    weight = np.log(times.astype(np.float32))
     for a in range(0, len(terms), _SOME):
         part = slice(a, a + _SOME)
         one = W.mix(terms[part, None] ^ salt[None, :])
         two = W.mix(one + np.uint64(0x9E3779B97F4A7C15))
-        gamma = -np.log(uniform(one >> np.uint64(32)) * uniform(one & low))
-        r[part] = gamma
-        c = -np.log(uniform(two >> np.uint64(32)) * uniform(two & low))
-        score[part] = np.log(c) - gamma
-        beta[part] = uniform(W.mix(two ^ one) >> np.uint64(32))
-    return r, score, beta
+        r, c, beta = gamma(one), gamma(two), halves(W.mix(two ^ one))[..., 1]
+        t = np.floor(weight[part, None] / r + beta)
+        step[part] = t
+        bits = (np.log(c) - r - r * (t - beta)).view(np.int32).astype(np.int64)
+        order[part] = np.where(bits < 0, bits ^ 0x7FFFFFFF, bits) << 32
+    order |= np.arange(len(terms))[:, None]
+    return order, step
 
 
 def codes_of(texts: pa.Array, samples: int = SAMPLES) -> np.ndarray:
     """16 bits for each text and sample; 0 throughout for a text without words, else never 0.
 
-    The words are gone through ``_TERMS`` at a time, with each text's least score so far, so the
-    draws held do not grow with the number of different words.
+    Each different (word, number of times) draws once. They are gone through ``_TERMS`` at a time,
+    with each text's least score so far, so what is held does not grow with their number.
     """
     words = W.words_of(texts, W.alphabet())
-    rows, hashes, times = W.distinct_by_row(words.rows, words.hashes)
+    _, at, times = np.unique(
+        W.mix(words.hashes ^ W.mix(words.rows.astype(np.uint64))), return_index=True, return_counts=True
+    )
+    by_row = np.argsort(words.rows[at], kind="stable")
+    at, times = at[by_row], times[by_row]
+    rows, hashes = words.rows[at], words.hashes[at]
     del words
-    terms, which = np.unique(hashes, return_inverse=True)
-    weight = np.log(times.astype(np.float64)).astype(np.float32)
-    del hashes, times
-    least = np.full((len(texts), samples), np.inf, np.float32)
+    distinct, example, which = np.unique(
+        W.mix(hashes + times.astype(np.uint64) * _STEP), return_index=True, return_inverse=True
+    )
+    none = np.iinfo(np.int64).max
+    least = np.full((len(texts), samples), none >> 32)
     codes = np.zeros((len(texts), samples), np.uint16)
-    every = np.arange(samples)
-    for first in range(0, len(terms), _TERMS):
-        some = terms[first : first + _TERMS]
-        r, score, beta = _draws(some, samples)
+    for first in range(0, len(distinct), _TERMS):
+        some = example[first : first + _TERMS]
+        order, step = _steps(hashes[some], times[some], samples)
         held = np.flatnonzero((which >= first) & (which < first + _TERMS))
-        spans = W.row_spans(rows[held], len(texts))
-        for i in np.flatnonzero(np.diff(spans)).tolist():
-            mine = held[spans[i] : spans[i + 1]]
-            own = which[mine] - first
-            step, shift = r[own], beta[own]
-            t = np.floor(weight[mine, None] / step + shift)
-            value = score[own] - step * (t - shift)
-            best = value.argmin(axis=0)
-            low = value[best, every]
-            better = np.flatnonzero(low < least[i])
-            least[i, better] = low[better]
-            best = best[better]
-            mark = t[best, better].astype(np.int64).view(np.uint64)
-            sample = W.mix(some[own[best]] ^ (mark * np.uint64(0xD1342543DE82EF95)))
-            codes[i, better] = (sample % np.uint64(65535)).astype(np.uint16) + 1
+        own, spans = which[held] - first, W.row_spans(rows[held], len(texts)).tolist()
+        lowest = np.full((len(texts), samples), none)
+        for i, (a, b) in enumerate(zip(spans, spans[1:], strict=False)):
+            if a < b:
+                order.take(own[a:b], axis=0).min(axis=0, out=lowest[i])
+        text, sample = np.nonzero(lowest >> 32 < least)
+        best = lowest[text, sample]
+        least[text, sample] = best >> 32
+        best &= 0xFFFFFFFF
+        mark = step[best, sample].astype(np.int64).view(np.uint64)
+        codes[text, sample] = W.mix(hashes[some[best]] ^ (mark * _STEP)) % np.uint64(65535) + np.uint64(1)
     return codes
 
 
