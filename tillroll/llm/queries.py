@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import (
+    alignment,
     fingerprints,
     language_id,
     license_scan,
@@ -127,6 +128,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_rows(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens of two tokenizers, aligned, and how common its links are."""
+    docs = read_table(spark, sf_dir, "documents")
+    return alignment.aligned_documents(
+        docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    )
+
+
 @query
 def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best others for every hundredth vector."""
