@@ -113,11 +113,9 @@ def test_fit_does_not_depend_on_partitioning(spark):
 
 def test_points_go_to_their_nearest_centre_and_more_starts_cost_no_more(spark):
     rows = blobs(spark)
-    vectors = clustering.feature_vectors(rows).persist()
-    one = clustering.best_of_starts(vectors, 4, starts=1).summary.trainingCost
-    best = clustering.best_of_starts(vectors, 4, starts=4).summary.trainingCost
+    one = clustering.best_of_starts(rows, 4, starts=1).cost
+    best = clustering.best_of_starts(rows, 4, starts=4).cost
     assert best <= one
-    vectors.unpersist()
     fitted = clustering.fit_clusters(rows, k=4, starts=1)
     centres = np.array([c for _, c in clustering.centroids_of(fitted)])
     data = fitted.toPandas()

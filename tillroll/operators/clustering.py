@@ -4,17 +4,16 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel, cloudpickle
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark import cloudpickle
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators.lloyd import Model, cells_of, cheapest, fit_models, squared_silhouettes
 from tillroll.operators.rfm import SCALED
 
 # Executors need not have this package: its functions travel to them by value.
@@ -25,17 +24,14 @@ ROWS_PER_PARTITION = 500_000
 # Points to a block of the exact silhouette.
 BLOCK = 2_048
 
-# Centres have settled once none moves by more than this many standard deviations.
-TOLERANCE = 0.01
-
 
 def feature_vectors(
     features: DataFrame, key: str = "customer_id", columns: Sequence[str] = SCALED
 ) -> DataFrame:
     """Add the vector column, laid out the same way whatever the input's partitioning.
 
-    K-Means adds floats in partition order, so rows are hashed by key into a number of partitions
-    that follows from their count, and sorted inside.
+    Sums of floats follow the partitions' order, so rows are hashed by key into a number of
+    partitions that follows from their count, and sorted inside.
     """
     partitions = max(1, -(-features.count() // ROWS_PER_PARTITION))
     placed = features.repartition(partitions, key).sortWithinPartitions(key)
@@ -43,32 +39,15 @@ def feature_vectors(
 
 
 def best_of_starts(
-    vectors: DataFrame, k: int, starts: int = 10, seed: int = 42, parallelism: int = 8
-) -> KMeansModel:
-    """Fit from several starts and keep the cheapest. Cache ``vectors`` first: fits are iterative.
-
-    Starts run side by side: on small tables one fit leaves most of the cluster idle.
-    """
-
-    def fit(start: int) -> KMeansModel:
-        means = KMeans(k=k, seed=seed + start, maxIter=300, tol=TOLERANCE, featuresCol="features")
-        return means.fit(vectors)
-
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        models = list(pool.map(fit, range(starts)))
-    return min(models, key=lambda model: model.summary.trainingCost)
-
-
-def _by_spend(model: KMeansModel, vectors: DataFrame) -> dict[int, int]:
-    """Old label -> new label, clusters in order of mean spend, highest first (k rows)."""
-    spend = (
-        model.transform(vectors)
-        .groupBy("prediction")
-        .agg(F.avg(F.col("monetary").cast("double")).alias("spend"))
-        .orderBy(F.desc("spend"), "prediction")
-        .collect()
-    )
-    return {row["prediction"]: rank for rank, row in enumerate(spend)}
+    features: DataFrame,
+    k: int,
+    starts: int = 10,
+    seed: int = 42,
+    key: str = "customer_id",
+    columns: Sequence[str] = SCALED,
+) -> Model:
+    """The cheapest of several starts, which are fitted together."""
+    return cheapest(fit_models(features, [k], starts, seed, key, columns))[0]
 
 
 def fit_clusters(
@@ -76,18 +55,19 @@ def fit_clusters(
 ) -> DataFrame:
     """Customers with their cluster. Labels run from the highest mean spend down, so they keep
     their meaning when the fit finds the clusters in another order."""
-    vectors = feature_vectors(features).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = best_of_starts(vectors, k, starts, seed)
-        rank = _by_spend(model, vectors)
-    finally:
-        vectors.unpersist()
-    centroids = [
-        (rank[old], centre.tolist())
-        for old, centre in enumerate(model.clusterCenters())
-        if old in rank
-    ]
-    return assign_to_centroids(features, centroids)
+    model = best_of_starts(features, k, starts, seed)
+    found = [(i, centre) for i, centre in enumerate(model.centres.tolist()) if model.sizes[i]]
+    if not found:
+        return features.withColumn("cluster", F.lit(None).cast("int"))
+    spend = (
+        assign_to_centroids(features, found)
+        .groupBy("cluster")
+        .agg(F.avg(F.col("monetary").cast("double")).alias("spend"))
+        .orderBy(F.desc("spend"), "cluster")
+        .collect()
+    )
+    rank = {row["cluster"]: i for i, row in enumerate(spend)}
+    return assign_to_centroids(features, [(rank[i], centre) for i, centre in found])
 
 
 def assign_to_centroids(
@@ -203,21 +183,23 @@ def k_sweep(
 ) -> DataFrame:
     """(k, inertia, silhouette_squared[, silhouette]): what to look at when choosing k.
 
+    All starts of all k are fitted together, in as many passes as the slowest takes, and measured in
+    two more. Rows without a number in every coordinate are left out.
+
     ``euclidean`` adds the silhouette on plain distance, whose time is quadratic in the customers.
     """
-    spark = features.sparkSession
-    vectors = feature_vectors(features).persist(StorageLevel.MEMORY_AND_DISK)
+    cells = cells_of(features, SCALED)
+    models = cheapest(fit_models(features, list(k_range), starts, seed, "customer_id", SCALED, cells))
+    squared = squared_silhouettes(cells, [model.centres for model in models]) if models else []
     rows = []
-    try:
-        for k in k_range:
-            model = best_of_starts(vectors, k, starts, seed)
-            labelled = model.transform(vectors).withColumnRenamed("prediction", "cluster")
-            row = (k, float(model.summary.trainingCost), float(squared_silhouette(labelled)))
-            if euclidean:
-                mean = euclidean_silhouette(labelled).agg(F.avg("silhouette")).first()[0]
-                row = (*row, float(mean))
-            rows.append(row)
-    finally:
-        vectors.unpersist()
+    for model, value in zip(models, squared, strict=True):
+        row = (model.k, model.cost, value)
+        if euclidean:
+            labelled = assign_to_centroids(features, list(enumerate(model.centres.tolist())))
+            mean = euclidean_silhouette(labelled).agg(F.avg("silhouette")).first()[0]
+            row = (*row, float(mean))
+        rows.append(row)
     schema = "k int, inertia double, silhouette_squared double"
-    return spark.createDataFrame(rows, schema + (", silhouette double" if euclidean else ""))
+    return features.sparkSession.createDataFrame(
+        rows, schema + (", silhouette double" if euclidean else "")
+    )
