@@ -6,13 +6,10 @@ are cut; the tokens between two cuts are a group, and each A token of a group is
 token of it.
 
 The cuts come from a galloping intersection of the two lists of token ends: each end of the shorter
-list is looked for in the longer one, from the last place on in steps that double, then by bisection
-between the last two steps. The ends in common slice the groups, and the differences of their ranks in
-the two lists say how many tokens of each a group has.
-
-Neither tokenizer has a token that goes on over a space which follows other text. So a text's lists
-are, end to end, those of its stretches, each a space and what follows up to the next such space; a
-worker encodes and aligns each different stretch once and looks it up afterwards.
+list is looked for in the longer one, from where a close earlier one was found, in steps that double,
+then by bisection between the last two steps. The ends of many texts are one ascending list, and many
+ends gallop side by side. Ends in common slice the groups, and the differences of their ranks in the
+two lists say how many tokens of each a group has and so which ranges of them overlap.
 
 How many documents of the corpus hold a pair of ids linked is counted by grouped aggregation. Documents
 are dealt into chunks; a chunk sends each different pair once, with its number of documents, the sums
@@ -21,8 +18,8 @@ are joined back to the chunks' pairs, and the documents of a chunk look theirs u
 
 from __future__ import annotations
 
-import bisect
 import hashlib
+import itertools
 import math
 import sys
 from collections.abc import Iterator
@@ -41,35 +38,62 @@ from tillroll.llm.frames import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Stretches remembered by a worker; beyond that it starts afresh.
-REMEMBERED = 500_000
+#: Bytes that a tokenizer gets at a time, where there is a place to cut.
+PIECE = 1 << 16
+#: Ends between two that gallop one after the other; the others start from the last of those.
+_STRIDE = 64
+#: Items whose text is made at a time.
+_ITEMS = 1 << 18
+#: Pairs of one group that are written out; a larger group's are counted by different ids.
+_PAIRS = 1 << 20
 #: Links to a chunk: about 8 MB of text.
 CHUNK_LINKS = 2_000_000
 #: A pair of ids is one number: A's above this many bits, B's within them.
 ID_BITS = 20
 
 
-def common_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-    """Places in ascending ``a`` and ``b`` of the numbers that stand in both."""
-    if len(a) > len(b):
-        second, first = common_ends(b, a)
-        return first, second
-    first, second = [], []
-    low, n = 0, len(b)
-    for place, end in enumerate(a):
+def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
+    """For each of ascending ``short``, how many of ascending ``long`` are less."""
+    n = len(long)
+    marks = []
+    low = 0
+    for end in short[::_STRIDE].tolist():
         high, step = low, 1
-        while high < n and b[high] < end:
+        while high < n and long[high] < end:
             low = high + 1
             high += step
             step *= 2
-        low = bisect.bisect_left(b, end, low, min(high, n))
-        if low == n:
-            break
-        if b[low] == end:
-            first.append(place)
-            second.append(low)
-            low += 1
-    return first, second
+        low += int(np.searchsorted(long[low : min(high, n)], end))
+        marks.append(low)
+    low = np.repeat(np.array(marks, np.int64), _STRIDE)[: len(short)]
+    high = low.copy()
+    step = 1
+    some = np.flatnonzero(high < n)
+    while len(some := some[long[high[some]] < short[some]]):
+        low[some] = high[some] + 1
+        high[some] += step
+        step *= 2
+        some = some[high[some] < n]
+    np.minimum(high, n, out=high)
+    some = np.flatnonzero(low < high)
+    while len(some):
+        middle = (low[some] + high[some]) // 2
+        less = long[middle] < short[some]
+        low[some] = np.where(less, middle + 1, low[some])
+        high[some] = np.where(less, high[some], middle)
+        some = some[low[some] < high[some]]
+    return low
+
+
+def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ascending ``a`` and ``b`` of the numbers that stand in both."""
+    if len(a) > len(b):
+        second, first = common_ends(b, a)
+        return first, second
+    rank = gallop(a, b)
+    found = np.flatnonzero(rank < len(b))
+    found = found[b[rank[found]] == a[found]]
+    return found, rank[found]
 
 
 def byte_of_sign() -> dict[str, int]:
@@ -81,99 +105,78 @@ def byte_of_sign() -> dict[str, int]:
     return signs | {chr(256 + i): byte for i, byte in enumerate(others)}
 
 
-class Aligned(NamedTuple):
-    """A stretch. ``cuts_a``, ``cuts_b``: by group, how many tokens stand up to its end. ``pairs``:
-    the different links, ``times`` how often each. ``good``: both spell the stretch's bytes."""
+class Spelling:
+    """The bytes that ids stand for."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.length = np.array([len(token) for token in tokens], np.int64)
+        self._at = np.cumsum(self.length) - self.length
+        self._bytes = np.frombuffer(b"".join(tokens), np.uint8)
 
-    good: bool
-    a: list[int]
-    b: list[int]
-    cuts_a: list[int]
-    cuts_b: list[int]
-    pairs: np.ndarray
-    times: np.ndarray
-    text: bytes
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        length = self.length[ids]
+        after = np.cumsum(length)
+        place = np.repeat(self._at[ids] - (after - length), length)
+        return self._bytes[place + np.arange(len(place))]
 
 
-class Aligner:
-    """Encodes and aligns stretches; ``path_a`` is of a byte-level BPE, ``path_b`` of a piece model."""
+class Tokenizers:
+    """Ids of pieces of text under both tokenizers, without special tokens.
+
+    ``path_a``: a byte-level BPE, as a ``tokenizers`` file or, which is faster, as ranks (``.tiktoken``).
+    ``path_b``: a piece model. A piece of text begins with the space that B adds by itself.
+    """
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self._a = Tokenizer.from_file(path_a)
-        self._a.encode_special_tokens = True  # their strings in a text are ordinary text
+        tokens_a = self._ranks(path_a) if path_a.endswith(".tiktoken") else self._file(path_a)
         self._b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        byte = byte_of_sign()
-        n = self._a.get_vocab_size()
-        self._bytes_a = [
-            bytes(byte[c] for c in sign) if all(c in byte for c in sign) else sign.encode()
-            for sign in (self._a.id_to_token(i) or "" for i in range(n))
+        pieces = [self._b.id_to_piece(i) for i in range(self._b.get_piece_size())]
+        tokens_b = [
+            bytes([int(piece[3:5], 16)]) if self._b.is_byte(i) else piece.replace("▁", " ").encode()
+            for i, piece in enumerate(pieces)
         ]
-        self._bytes_b = []
-        for i in range(self._b.get_piece_size()):
-            piece = self._b.id_to_piece(i)
-            is_byte = self._b.is_byte(i)
-            self._bytes_b.append(bytes([int(piece[3:5], 16)]) if is_byte else piece.replace("▁", " ").encode())
-        if max(n, len(self._bytes_b)) > 1 << ID_BITS:
+        if max(len(tokens_a), len(tokens_b)) > 1 << ID_BITS:
             raise ValueError(f"ids have more than {ID_BITS} bits")
-        #: A piece that goes on over a space would join stretches: then texts are not cut.
-        self.cuts = not any("▁" in self._b.id_to_piece(i).lstrip("▁") for i in range(len(self._bytes_b)))
-
-    def align(self, stretch: str) -> Aligned:
-        """``stretch`` begins with the space that B adds by itself."""
-        a = self._a.encode(stretch, add_special_tokens=False).ids
-        b = self._b.encode(stretch[1:])
-        parts_a, parts_b = [self._bytes_a[i] for i in a], [self._bytes_b[i] for i in b]
-        whole = stretch.encode()
-        none = np.zeros(0, np.int64)
-        if b"".join(parts_a) != whole or b"".join(parts_b) != whole:
-            return Aligned(False, [], [], [], [], none, none, b"")
-        ends_a = np.cumsum([len(x) for x in parts_a]).tolist()
-        ends_b = np.cumsum([len(x) for x in parts_b]).tolist()
-        at_a, at_b = common_ends(ends_a, ends_b)
-        cuts_a, cuts_b = [i + 1 for i in at_a], [i + 1 for i in at_b]
-        groups, pairs, times = [], [], []
-        last_a = last_b = 0
-        for end_a, end_b in zip(cuts_a, cuts_b, strict=True):
-            own_a, own_b = a[last_a:end_a], b[last_b:end_b]
-            last_a, last_b = end_a, end_b
-            groups.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
-            ids_a, times_a = np.unique(own_a, return_counts=True)
-            ids_b, times_b = np.unique(own_b, return_counts=True)
-            pairs.append(((ids_a[:, None] << ID_BITS) | ids_b[None, :]).ravel())
-            times.append((times_a[:, None] * times_b[None, :]).ravel())
-        codes, which = np.unique(np.concatenate(pairs), return_inverse=True)
-        times = np.bincount(which, weights=np.concatenate(times)).astype(np.int64)
-        return Aligned(True, a, b, cuts_a, cuts_b, codes, times, ";".join(groups).encode())
-
-
-class Memory:
-    """Stretches seen so far, by hash: a row of numbers for each and their links end to end."""
-
-    def __init__(self, aligner: Aligner):
-        self.aligner = aligner
-        self._value = W.random_words(256, 12)
-        self._forget()
-
-    def _forget(self) -> None:
-        self._known = np.zeros(0, np.uint64)
-        self._record = np.zeros(0, np.int64)
-        self.stretches: list[Aligned] = []
-        #: Good or not, A tokens, B tokens, groups, links, different links.
-        self.numbers = np.zeros((0, 6), np.int64)
-        self.at = np.zeros(0, np.int64)
-        self.pairs = np.zeros(0, np.int64)
-        self.times = np.zeros(0, np.int64)
-
-    def _cut(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Where stretches begin. ``data`` are texts end to end, each with a space before."""
+        self.spelling = Spelling(tokens_a), Spelling(tokens_b)
+        #: No piece goes on over a space that follows other text, so there texts can be cut.
+        self.cuts = not any("▁" in piece.lstrip("▁") for piece in pieces)
+
+    def _ranks(self, path: str) -> list[bytes]:
+        import base64
+
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, "rb") as file:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+        coder = tiktoken.Encoding(
+            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
+        self._encode_a = coder.encode_ordinary
+        return sorted(ranks, key=ranks.get)
+
+    def _file(self, path: str) -> list[bytes]:
+        from tokenizers import Tokenizer
+
+        coder = Tokenizer.from_file(path)
+        coder.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._encode_a = lambda text: coder.encode(text, add_special_tokens=False).ids
+        byte = byte_of_sign()
+        signs = [coder.id_to_token(i) or "" for i in range(coder.get_vocab_size())]
+        return [bytes(byte[c] for c in sign) if all(c in byte for c in sign) else sign.encode() for sign in signs]
+
+    def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        return [self._encode_a(piece) for piece in pieces], self._b.encode([piece[1:] for piece in pieces])
+
+    def pieces(self, data: np.ndarray, offsets: np.ndarray, most: int) -> np.ndarray:
+        """Where pieces of about ``most`` bytes begin. ``data``: texts end to end, a space before each."""
         first = offsets[:-1]
-        if not self.aligner.cuts or len(data) < 3:
+        if not self.cuts or not len(first) or np.diff(offsets).max() <= most:
             return first
         # A space goes to what follows it if what stands before is not white space. A byte beyond
-        # ASCII may belong to white space; then what follows has to be ASCII.
+        # ASCII may belong to white space; then what follows has to be visible ASCII.
         before, after = data[:-2], data[2:]
         seen = (after > 32) & (after < 127)
         begins = (data[1:-1] == 32) & (((before > 32) & (before < 127)) | ((before >= 128) & seen))
@@ -182,50 +185,146 @@ class Memory:
         edge = np.zeros(len(data) + 1, dtype=bool)
         edge[offsets] = True
         at = at[~edge[at] & ~edge[at + 1]]
-        return np.union1d(first, at)
-
-    def look_up(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The stretches of all ``texts``, as places in ``stretches``, and where each text's begin."""
-        data, offsets = W.text_bytes(texts)
-        starts = self._cut(data, offsets)
-        ends = np.append(starts[1:], len(data))
-        hashes = W.hashes_between(data, starts, ends, self._value)
-        if len(self._known) > REMEMBERED:
-            self._forget()
-        distinct, example, which = np.unique(hashes, return_index=True, return_inverse=True)
-        new = ~np.isin(distinct, self._known)
-        if new.any():
-            found = [
-                self.aligner.align(data[a:b].tobytes().decode())
-                for a, b in zip(starts[example[new]].tolist(), ends[example[new]].tolist(), strict=True)
-            ]
-            self._learn(distinct[new], found)
-        records = self._record[np.searchsorted(self._known, distinct)][which]
-        return records, np.searchsorted(starts, offsets)
-
-    def _learn(self, hashes: np.ndarray, found: list[Aligned]) -> None:
-        numbers = np.array(
-            [(x.good, len(x.a), len(x.b), len(x.cuts_a), x.times.sum(), len(x.pairs)) for x in found], np.int64
-        )
-        place = np.searchsorted(self._known, hashes)
-        self._known = np.insert(self._known, place, hashes)
-        self._record = np.insert(self._record, place, len(self.stretches) + np.arange(len(found)))
-        self.stretches += found
-        self.at = np.append(self.at, len(self.pairs) + np.cumsum(numbers[:, 5]) - numbers[:, 5])
-        self.numbers = np.concatenate([self.numbers, numbers])
-        self.pairs = np.concatenate([self.pairs, *[x.pairs for x in found]])
-        self.times = np.concatenate([self.times, *[x.times for x in found]])
-
-    def links(self, records: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The different links of each row's ``records``, ascending: row, pair, how often."""
-        n = self.numbers[records, 5]
-        after = np.cumsum(n)
-        total = int(after[-1]) if len(after) else 0
-        flat = np.repeat(self.at[records] - (after - n), n) + np.arange(total)
-        key = (np.repeat(rows, n) << (2 * ID_BITS)) | self.pairs[flat]
-        own, which = np.unique(key, return_inverse=True)
-        times = np.bincount(which, weights=self.times[flat], minlength=len(own)).astype(np.int64)
-        return own >> (2 * ID_BITS), own & ((1 << (2 * ID_BITS)) - 1), times
+        text = np.searchsorted(offsets, at, side="right") - 1
+        part = (at - offsets[text]) // most
+        new = np.ones(len(at), dtype=bool)
+        new[1:] = (part[1:] != part[:-1]) | (text[1:] != text[:-1])
+        return np.union1d(first, at[new & (part > 0)])
+
+
+class Side(NamedTuple):
+    """One tokenizer's ids of texts that are spelled well, end to end. ``first``: by text, where its
+    ids begin, and the end. ``cuts``: where groups end, as places in ``ids``."""
+
+    ids: np.ndarray
+    first: np.ndarray
+    cuts: np.ndarray
+
+
+class Aligned(NamedTuple):
+    """``good``: by text, whether it is not empty and both tokenizers spell it. Other texts have no
+    ids. ``groups``: by text, its first group, and the end."""
+
+    good: np.ndarray
+    a: Side
+    b: Side
+    groups: np.ndarray
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    counts = np.array([len(x) for x in lists], np.int64)
+    return np.fromiter(itertools.chain.from_iterable(lists), np.int64, counts.sum()), counts
+
+
+def _spelled(spelling: Spelling, ids: np.ndarray, first: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """By text, whether its ids spell its bytes."""
+    size = np.diff(offsets)
+    good = W.sums_by_row(spelling.length[ids], first) == size
+    for i in np.flatnonzero(good & (size > _ITEMS)).tolist():  # long texts some ids at a time
+        at = offsets[i]
+        for a in range(first[i], first[i + 1], _ITEMS // 8):
+            part = spelling.of(ids[a : min(a + _ITEMS // 8, first[i + 1])])
+            good[i] &= np.array_equal(part, data[at : at + len(part)])
+            at += len(part)
+    short = good & (size <= _ITEMS)
+    part = spelling.of(ids[np.repeat(short, np.diff(first))])
+    wrong = part != data[np.repeat(short, size)]
+    spans = np.append(0, np.cumsum(np.where(short, size, 0)))
+    return good & (W.sums_by_row(wrong.astype(np.int64), spans) == 0)
+
+
+def align(tokenizers: Tokenizers, texts: pa.Array, most: int = PIECE) -> Aligned:
+    """``texts`` aligned; null ones are empty."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    space, nothing = (pa.scalar(x, pa.large_string()) for x in (" ", ""))
+    data, offsets = W.text_bytes(pc.binary_join_element_wise(space, texts, nothing))
+    n = len(texts)
+    starts = tokenizers.pieces(data, offsets, most)
+    ends = np.append(starts[1:], len(data)) if len(starts) else starts
+    pieces = [data[a:b].tobytes().decode() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    text = np.searchsorted(offsets, starts, side="right") - 1
+    good = np.diff(offsets) > 1
+    sides = []
+    for lists, spelling in zip(tokenizers.encode(pieces), tokenizers.spelling, strict=True):
+        ids, counts = _flat(lists)
+        first = np.append(0, np.cumsum(np.bincount(text, weights=counts, minlength=n).astype(np.int64)))
+        good &= _spelled(spelling, ids, first, data, offsets)
+        sides.append((ids, first))
+    kept, ends = [], []
+    for (ids, first), spelling in zip(sides, tokenizers.spelling, strict=True):
+        ids = ids[np.repeat(good, np.diff(first))]
+        first = np.append(0, np.cumsum(np.where(good, np.diff(first), 0)))
+        kept.append((ids, first))
+        ends.append(np.cumsum(spelling.length[ids]))
+    # Texts that are spelled well have the same bytes on both sides, so all ends are one list.
+    cuts = [at + 1 for at in common_ends(*ends)]
+    a, b = (Side(ids, first, own) for (ids, first), own in zip(kept, cuts, strict=True))
+    return Aligned(good, a, b, np.searchsorted(a.cuts, a.first, side="right"))
+
+
+def group_digests(found: Aligned) -> list[str]:
+    """By text, the SHA-256 of its groups as ``a1,a2|b1;a3|b2,b3``; empty for a text without."""
+    a, b = found.a, found.b
+    n_a, n_b = np.diff(a.cuts, prepend=0), np.diff(b.cuts, prepend=0)
+    items = len(a.ids) + len(b.ids)
+    ids = np.empty(items, np.int64)
+    after = np.empty(items, np.uint8)
+    # A group's A ids come after all B ids of earlier groups, its B ids after its A ids.
+    place_a = np.arange(len(a.ids)) + np.repeat(b.cuts - n_b, n_a)
+    place_b = np.arange(len(b.ids)) + np.repeat(a.cuts, n_b)
+    ids[place_a], ids[place_b] = a.ids, b.ids
+    after[:] = ord(",")
+    after[place_a[a.cuts - 1]], after[place_b[b.cuts - 1]] = ord("|"), ord(";")
+    first = a.first + b.first
+    hashes = [hashlib.sha256() if good else None for good in found.good]
+    held = 0  # the text that the items now belong to
+    for begin in range(0, items, _ITEMS):
+        part = slice(begin, min(begin + _ITEMS, items))
+        digits = _DIGITS.length[ids[part]]
+        end = np.cumsum(digits + 1)
+        text = np.empty(int(end[-1]), np.uint8)
+        sign = np.zeros(len(text), dtype=bool)
+        sign[end - 1] = True
+        text[sign], text[~sign] = after[part], _DIGITS.of(ids[part])
+        while held < len(hashes):
+            low, high = max(first[held], part.start), min(first[held + 1], part.stop)
+            if low < high:
+                own = text[end[low - part.start - 1] if low > part.start else 0 : end[high - part.start - 1]]
+                # The last group of a text is followed by nothing.
+                hashes[held].update(own[:-1] if high == first[held + 1] else own)
+            if first[held + 1] > part.stop:
+                break
+            held += 1
+    return [own.hexdigest() if own is not None else "" for own in hashes]
+
+
+_DIGITS = Spelling([str(i).encode() for i in range(1 << 17)])
+
+
+def links(found: Aligned) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different links of each text, ascending: text, pair of ids, how often."""
+    a, b = found.a, found.b
+    n_a, n_b = np.diff(a.cuts, prepend=0), np.diff(b.cuts, prepend=0)
+    row = np.repeat(np.arange(len(found.good)), np.diff(found.groups))
+    small = n_a * n_b <= _PAIRS
+    times_a = np.repeat(np.where(small, n_b, 0), n_a)  # how many links an A token has
+    own_a = np.repeat(a.ids, times_a)
+    begin = np.repeat(np.repeat(b.cuts - n_b, n_a), times_a)
+    nth = np.arange(len(own_a)) - np.repeat(np.cumsum(times_a) - times_a, times_a)
+    keys = [np.repeat(np.repeat(row, n_a), times_a) << (2 * ID_BITS) | own_a << ID_BITS | b.ids[begin + nth]]
+    counts = [np.ones(len(own_a), np.int64)]
+    for g in np.flatnonzero(~small).tolist():
+        ids_a, often_a = np.unique(a.ids[a.cuts[g] - n_a[g] : a.cuts[g]], return_counts=True)
+        ids_b, often_b = np.unique(b.ids[b.cuts[g] - n_b[g] : b.cuts[g]], return_counts=True)
+        keys.append((int(row[g]) << (2 * ID_BITS) | ids_a[:, None] << ID_BITS | ids_b[None, :]).ravel())
+        counts.append((often_a[:, None] * often_b[None, :]).ravel())
+    key = np.concatenate(keys)
+    order = np.argsort(key)
+    key, count = key[order], np.concatenate(counts)[order]
+    at = np.flatnonzero(np.diff(key, prepend=-1))
+    times = np.add.reduceat(count, at) if len(at) else count
+    key = key[at]
+    return key >> (2 * ID_BITS), key & ((1 << (2 * ID_BITS)) - 1), times
 
 
 def _packed(pairs: np.ndarray, times: np.ndarray) -> bytes:
@@ -253,6 +352,10 @@ def _links_of(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return rows, pairs, times
 
 
+def _lists(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values, pa.int32()))
+
+
 def alignments(
     docs: DataFrame,
     path_a: str,
@@ -282,43 +385,32 @@ def alignments(
     fields += [T.StructField(name, T.ArrayType(T.IntegerType())) for name in lists]
     names = [field.name for field in fields]
 
-    def tokens(memory: Memory, own: np.ndarray, name: str) -> np.ndarray:
-        parts, shift = [np.zeros(0, np.int32)], 0
-        for i in own.tolist():
-            part = np.array(getattr(memory.stretches[i], name), np.int32)
-            parts.append(part + shift if name.startswith("cuts") else part)
-            shift += len(getattr(memory.stretches[i], name[-1])) if name.startswith("cuts") else 0
-        return np.concatenate(parts)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = Memory(Aligner(path_a, path_b))
+        tokenizers = Tokenizers(path_a, path_b)
         for batch in batches:
             for block in W.blocks(batch, "text"):
-                n = block.num_rows
-                texts = pc.fill_null(block.column("text").cast(pa.large_string()), "")
-                space, none = (pa.scalar(x, pa.large_string()) for x in (" ", ""))
-                spaced = pc.binary_join_element_wise(space, texts, none)
-                records, first = memory.look_up(spaced)
-                rows = np.repeat(np.arange(n), np.diff(first))
-                good = np.bincount(rows, weights=memory.numbers[records, 0] == 0, minlength=n) == 0
-                good &= pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0
-                held = good[rows]
-                records, rows = records[held], rows[held]
-                spans = W.row_spans(rows, n)
-                sums = [W.sums_by_row(memory.numbers[records, i], spans) for i in range(1, 5)]
-                texts_of = [memory.stretches[i].text for i in records.tolist()]
-                digests, packed = [], []
-                linked, pairs, times = memory.links(records, rows)
-                of = W.row_spans(linked, n)
-                for i in range(n):
-                    own = b";".join(texts_of[spans[i] : spans[i + 1]])
-                    digests.append(hashlib.sha256(own).hexdigest() if good[i] else "")
-                    part = slice(of[i], of[i + 1])
-                    packed.append(_packed(pairs[part], times[part]) if good[i] else b"")
-                columns = [block.column("key"), *map(pa.array, sums), pa.array(digests), pa.array(packed, pa.binary())]
-                for name in lists:
-                    own = [tokens(memory, records[spans[i] : spans[i + 1]], name) for i in range(n)]
-                    columns.append(pa.array(own, pa.list_(pa.int32())))
+                found = align(tokenizers, block.column("text"))
+                linked, pairs, times = links(found)
+                of = W.row_spans(linked, block.num_rows)
+                packed = [
+                    _packed(pairs[a:b], times[a:b]) if good else b""
+                    for a, b, good in zip(of, of[1:], found.good, strict=False)
+                ]
+                sides = (found.a, found.b)
+                columns = [
+                    block.column("key"),
+                    *[pa.array(np.diff(side.first)) for side in sides],
+                    pa.array(np.diff(found.groups)),
+                    pa.array(W.sums_by_row(times, of)),
+                    pa.array(group_digests(found)),
+                    pa.array(packed, pa.binary()),
+                ]
+                if with_tokens:
+                    for side in sides:
+                        columns.append(_lists(side.ids, side.first))
+                    for side in sides:
+                        shift = np.repeat(side.first[:-1], np.diff(found.groups))
+                        columns.append(_lists(side.cuts - shift, found.groups))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))

@@ -130,10 +130,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's tokens of two tokenizers, aligned, and how common its links are."""
+    """Every document's tokens of two tokenizers, aligned, and how common its links are. The ranks
+    are those of byte_bpe_50k.json."""
     docs = read_table(spark, sf_dir, "documents")
     return alignment.aligned_documents(
-        docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+        docs, tokenizer_path("byte_bpe_50k.tiktoken"), tokenizer_path("piece_bpe_32k.model")
     )
 
 
