@@ -4,6 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tillroll.functions import quantiles
 from tillroll.functions.quantiles import exact_quantile, exact_quantiles
 
 
@@ -67,3 +68,79 @@ def test_columns_share_the_passes(spark):
     data = pd.DataFrame({"a": rng.normal(size=3_000), "b": rng.integers(0, 5, 3_000) * 1.0, "c": 7.0})
     got = exact_quantiles(spark.createDataFrame(data), ["a", "b", "c"], 0.9)
     assert got == pytest.approx({name: np.quantile(data[name], 0.9) for name in data})
+
+
+def heavy(kind, n=30_000):
+    rng = np.random.default_rng(5)
+    return {
+        "cauchy": rng.standard_cauchy(n),
+        "wide": np.exp(rng.normal(0, 40, n)) * rng.choice([-1, 1], n),
+        "ties": np.round(rng.standard_cauchy(n), 1),
+        "few": rng.choice([1.0, 2.0, 1e300], n),
+        "constant": np.full(n, 5.0),
+        "infinite": np.concatenate([rng.standard_cauchy(n - 40), np.full(20, np.inf), np.full(20, -np.inf)]),
+    }[kind]
+
+
+KINDS = ("cauchy", "wide", "ties", "few", "constant", "infinite")
+
+
+def passes(monkeypatch):
+    """Counts the passes from here on, and those that fall back on histograms."""
+    seen = {"sketch": 0, "histogram": 0}
+    run, narrow = quantiles._pass, quantiles._narrow
+
+    def counted(*args):
+        seen["sketch"] += 1
+        return run(*args)
+
+    def narrowed(numbers, finite, searches):
+        seen["histogram"] += len(searches)
+        return narrow(numbers, finite, searches)
+
+    monkeypatch.setattr(quantiles, "_pass", counted)
+    monkeypatch.setattr(quantiles, "_narrow", narrowed)
+    return seen
+
+
+def all_kinds(spark):
+    return spark.createDataFrame(pd.DataFrame({kind: heavy(kind) for kind in KINDS})).repartition(7).persist()
+
+
+@pytest.mark.parametrize("q", [0.0, 0.5, 0.99, 1.0])
+def test_heavy_tails_take_two_passes_and_equal_percentile(spark, monkeypatch, q):
+    df = all_kinds(spark)
+    seen = passes(monkeypatch)
+    got = exact_quantiles(df, KINDS, q)
+    assert seen == {"sketch": 2, "histogram": 0}
+    for kind in KINDS:
+        want = np.sort(heavy(kind))
+        position = q * (len(want) - 1)
+        low, high = want[int(np.floor(position))], want[int(np.ceil(position))]
+        share = position - np.floor(position)
+        assert got[kind] == (low if share == 0 or low == high else low + (high - low) * share)
+    percentile = df.selectExpr(*[f"percentile({kind}, {q}D) AS {kind}" for kind in KINDS if kind != "infinite"])
+    for kind, value in percentile.first().asDict().items():
+        assert got[kind] == pytest.approx(value, rel=1e-14)
+
+
+def test_more_than_can_be_gathered_is_sketched_again(spark, monkeypatch):
+    df = all_kinds(spark)
+    want = exact_quantiles(df, KINDS, 0.37)
+    monkeypatch.setattr(quantiles, "SETTLE", 60)
+    seen = passes(monkeypatch)
+    assert exact_quantiles(df, KINDS, 0.37) == want
+    assert seen["sketch"] > 2 and seen["histogram"] == 0
+
+
+def test_a_bracket_that_fails_is_given_up_for_histograms(spark, monkeypatch):
+    df = all_kinds(spark)
+    want = exact_quantiles(df, KINDS, 0.37)
+
+    def wrong(search, place, n, grid):
+        search.low, search.high, search.inside = grid[-2], grid[-1], 1
+
+    monkeypatch.setattr(quantiles, "_bracket", wrong)
+    seen = passes(monkeypatch)
+    assert exact_quantiles(df, KINDS, 0.37) == want
+    assert seen["histogram"] >= 3
