@@ -173,6 +173,15 @@ def test_sweep_prefers_the_true_number(spark):
     assert sweep.loc[sweep["silhouette_squared"].idxmax(), "k"] == 3
 
 
+def test_sweep_within_an_error(spark):
+    rows = blobs(spark, n=30)
+    sweeps = [
+        clustering.k_sweep(rows, k_range=(3,), starts=1, euclidean=True, error=error).first().silhouette
+        for error in (None, 0.02)
+    ]
+    assert abs(sweeps[0] - sweeps[1]) <= 0.02
+
+
 def test_segment_counts_add_up(spark, sf):
     table = testtables.segments(spark, sf)
     assert table.count() == 120

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.lloyd import Model, cells_of, cheapest, fit_models, squared_silhouettes
 from tillroll.operators.rfm import SCALED
+from tillroll.operators.silhouette import silhouette_within
 
 # Executors need not have this package: its functions travel to them by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -115,8 +116,8 @@ def euclidean_silhouette(
 
     Exact at every size, and so quadratic: each point's distances to all points are summed. Points are
     dealt into blocks of about ``block``; each pair of blocks is one small task that hands on a sum and
-    a count for each of its points and each cluster. Ask for it where that time is to be had; the
-    squared silhouette is linear.
+    a count for each of its points and each cluster. Ask for it where that time is to be had;
+    ``silhouette_within`` has a stated error instead, and the squared silhouette is linear.
     """
     names = list(columns)
     blocks = max(1, -(-features.count() // block))
@@ -180,13 +181,15 @@ def k_sweep(
     starts: int = 10,
     seed: int = 42,
     euclidean: bool = False,
+    error: float | None = None,
 ) -> DataFrame:
     """(k, inertia, silhouette_squared[, silhouette]): what to look at when choosing k.
 
     All starts of all k are fitted together, in as many passes as the slowest takes, and measured in
     two more. Rows without a number in every coordinate are left out.
 
-    ``euclidean`` adds the silhouette on plain distance, whose time is quadratic in the customers.
+    ``euclidean`` adds the silhouette on plain distance: exact, with time quadratic in the customers,
+    or within ``error`` of it.
     """
     cells = cells_of(features, SCALED)
     models = cheapest(fit_models(features, list(k_range), starts, seed, "customer_id", SCALED, cells))
@@ -196,7 +199,8 @@ def k_sweep(
         row = (model.k, model.cost, value)
         if euclidean:
             labelled = assign_to_centroids(features, list(enumerate(model.centres.tolist())))
-            mean = euclidean_silhouette(labelled).agg(F.avg("silhouette")).first()[0]
+            points = euclidean_silhouette(labelled) if error is None else silhouette_within(labelled, error)
+            mean = points.agg(F.avg("silhouette")).first()[0]
             row = (*row, float(mean))
         rows.append(row)
     schema = "k int, inertia double, silhouette_squared double"

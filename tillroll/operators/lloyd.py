@@ -65,7 +65,7 @@ class Model(NamedTuple):
     steps: int
 
 
-def _finite(columns: Sequence[str]) -> Column:
+def finite(columns: Sequence[str]) -> Column:
     """Whether all coordinates are numbers."""
     whole = F.lit(True)
     for name in columns:
@@ -74,13 +74,32 @@ def _finite(columns: Sequence[str]) -> Column:
     return whole
 
 
+def morton_code(points: DataFrame, names: Sequence[str]) -> Column:
+    """A number that is close for points that are close: the bits of their places, in turn."""
+    bits = min(16, 62 // len(names))
+    seen = points.agg(
+        *[F.min(x).cast("double").alias(f"low_{x}") for x in names],
+        *[F.max(x).cast("double").alias(f"high_{x}") for x in names],
+    ).first()
+    one = F.lit(1).cast("long")
+    code = F.lit(0).cast("long")
+    for i, x in enumerate(names):
+        low, high = seen[f"low_{x}"] or 0.0, seen[f"high_{x}"] or 0.0
+        # Halves, since the difference of two large numbers may not be finite.
+        share = (F.col(x).cast("double") / 2 - low / 2) / F.lit(max(high / 2 - low / 2, 5e-324))
+        level = F.greatest(F.lit(0.0), F.least(share * float(1 << bits), F.lit(float((1 << bits) - 1)))).cast("long")
+        for bit in range(bits):
+            code = code.bitwiseOR(F.shiftleft(F.shiftright(level, bit).bitwiseAND(one), bit * len(names) + i))
+    return code
+
+
 def cells_of(features: DataFrame, columns: Sequence[str], cell: int = CELL) -> Cells:
     """The points of ``features`` in cells, written to the shared folder.
 
     Rows with a coordinate that is null, NaN or infinite are left out.
     """
     axes = len(columns)
-    points = features.filter(_finite(columns)).select(
+    points = features.filter(finite(columns)).select(
         *[F.col(name).cast("double").alias(f"x{i}") for i, name in enumerate(columns)]
     )
     names = points.columns
@@ -92,15 +111,7 @@ def cells_of(features: DataFrame, columns: Sequence[str], cell: int = CELL) -> C
     most = max((abs(seen[f"{side}_{x}"] or 0.0) for side in ("low", "high") for x in names), default=0.0)
     scale = _BITS - (math.frexp(most)[1] if most else 0)
     whole = points.select(*[F.rint(F.col(x) * F.lit(2.0**scale)).cast("long").alias(x) for x in names])
-    bits = min(16, 62 // axes)
-    code = F.lit(0).cast("long")
-    for i, x in enumerate(names):
-        low, high = (math.floor((seen[f"{side}_{x}"] or 0.0) * 2.0**scale) for side in ("low", "high"))
-        level = F.floor((F.col(x) - low) / F.lit(float(max(1, high - low + 1))) * (1 << bits)).cast("long")
-        level = F.greatest(F.lit(0).cast("long"), F.least(level, F.lit((1 << bits) - 1).cast("long")))
-        for bit in range(bits):
-            place = bit * axes + i
-            code = code.bitwiseOR(F.shiftleft(F.shiftright(level, bit).bitwiseAND(F.lit(1).cast("long")), place))
+    code = morton_code(whole, names)
     partitions = max(1, -(-int(seen["n"]) // POINTS_PER_PARTITION))
     order = ["code", *names]
     schema = T.StructType(
@@ -375,7 +386,7 @@ def fit_models(
     """
     cells = cells or cells_of(features, columns)
     names = [F.col(name).cast("double").alias(name) for name in columns]
-    lowest = features.filter(_finite(columns)).select(F.xxhash64(F.col(key), F.lit(seed)).alias("__hash"), *names)
+    lowest = features.filter(finite(columns)).select(F.xxhash64(F.col(key), F.lit(seed)).alias("__hash"), *names)
     sample = np.array(
         [tuple(row)[1:] for row in lowest.orderBy("__hash", *columns).limit(SAMPLE).collect()], float
     ).reshape(-1, len(columns))
