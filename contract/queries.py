@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from tillroll.functions import flags, measures, text
 from tillroll.operators import (
     anomalies,
     clustering,
+    lloyd,
     narratives,
     quality,
     reports,
@@ -21,6 +23,7 @@ from tillroll.operators import (
     segments,
     views,
 )
+from tillroll.plans import load
 from tillroll.session import new_path
 from tillroll.sources import raw_invoices, tables, testtables
 
@@ -121,14 +124,17 @@ def s4_load_report(spark, sf_dir):
     return raw_invoices.load_report(_typed(spark, sf_dir))
 
 
+@query
+def s4_load_reasons(spark, sf_dir):
+    """The report of a whole load."""
+    return load.load_invoices(spark, _raw_file(spark, sf_dir), new_path(spark, "loaded"))
+
+
 @query
 def s5_row_ids(spark, sf_dir):
-    rows = raw_invoices.with_row_id(raw_invoices.drop_unusable(_typed(spark, sf_dir)), after=1000)
-    return rows.agg(
-        F.count("*").alias("row_count"),
-        F.count_distinct("id").alias("distinct_ids"),
-        F.count_if(F.col("id") <= 1000).alias("ids_taken_before"),
-    )
+    path = new_path(spark, "usable")
+    raw_invoices.drop_unusable(_typed(spark, sf_dir)).write.parquet(path)
+    return raw_invoices.with_row_id(tables.read_table(spark, path), after=1000)
 
 
 @query
@@ -325,6 +331,23 @@ def r4_k_sweep(spark, sf_dir):
     return clustering.k_sweep(_features(spark, sf_dir).drop("cluster", "segment_name"))
 
 
+@query
+def r4_lloyd_step(spark, sf_dir):
+    """One joint iteration for three numbers of clusters; first centres are the first customers."""
+    features = _features(spark, sf_dir)
+    first = features.orderBy("customer_id").select(*rfm.SCALED).limit(5).collect()
+    centres = [np.array([tuple(row) for row in first[:k]]) for k in (2, 3, 5)]
+    cells = lloyd.cells_of(features, rfm.SCALED)
+    rows = [
+        (len(after), place, n, *[float(x) for x in centre])
+        for after, sizes in lloyd.lloyd_step(cells, centres)
+        for place, (centre, n) in enumerate(zip(after, sizes, strict=True))
+    ]
+    names = ", ".join(f"{name} double" for name in rfm.SCALED)
+    moved = spark.createDataFrame(rows, f"k int, cluster int, customers long, {names}")
+    return _rounded(moved, *rfm.SCALED)
+
+
 @query
 def r5_euclidean_silhouette(spark, sf_dir):
     return _rounded(clustering.euclidean_silhouette(_features(spark, sf_dir)), "silhouette")

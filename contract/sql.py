@@ -324,11 +324,36 @@ _add(
     """SELECT (SELECT count(*) FROM typed) AS rows_read, (SELECT count(*) FROM usable) AS rows_kept,
        (SELECT count(*) FROM typed) - (SELECT count(*) FROM usable) AS rows_dropped""",
 )
+_DATE = "coalesce(TRY_CAST(invoice_date AS TIMESTAMP), try_strptime(invoice_date, '%m/%d/%Y %H:%M'))"
+_NUMBER = "TRY_CAST({} AS DOUBLE)"
+_PLANTED_GAPS = "{0} IS NULL OR {0} IN ('n/a', 'nan')"
+_REASONS = ", ".join(
+    f"count(*) FILTER ({condition}) AS {name}"
+    for name, condition in {
+        "malformed": "false",
+        **{f"{name}_missing": _PLANTED_GAPS.format(name) for name in
+           ("invoice_no", "stock_code", "invoice_date", "quantity", "unit_price")},
+        "invoice_no_unreadable": "false",
+        "stock_code_unreadable": "false",
+        "invoice_date_unreadable": f"invoice_date IS NOT NULL AND {_DATE} IS NULL",
+        "quantity_unreadable": f"NOT ({_PLANTED_GAPS.format('quantity')}) AND {_NUMBER.format('quantity')} IS NULL",
+        "quantity_out_of_range": f"abs({_NUMBER.format('quantity')}) >= 2147483647.5",
+        "unit_price_unreadable": f"unit_price IS NOT NULL AND {_NUMBER.format('unit_price')} IS NULL",
+        "unit_price_out_of_range": f"abs({_NUMBER.format('unit_price')}) >= 99999999.995",
+    }.items()
+)
+_add(
+    "s4_load_reasons",
+    "raw usable",
+    f"""SELECT count(*) AS rows_read, (SELECT count(*) FROM usable) AS rows_kept,
+       count(*) - (SELECT count(*) FROM usable) AS rows_dropped, {_REASONS} FROM raw""",
+)
 _add(
     "s5_row_ids",
     "usable",
-    """SELECT count(*) AS row_count, count(*) AS distinct_ids,
-       CAST(0 AS BIGINT) AS ids_taken_before FROM usable""",
+    f"""SELECT 1000 + row_number() OVER (ORDER BY invoice_date, invoice_no, stock_code, quantity, unit_price,
+           customer_id NULLS FIRST, description NULLS FIRST, country NULLS FIRST) AS id,
+       {RAW} FROM usable""",
 )
 _add(
     "s6_append_twice",
@@ -520,6 +545,21 @@ _add(
     f"""SELECT count(*) AS customers, round(avg(silhouette), 6) AS silhouette_squared
         FROM ({_SILHOUETTE.format(distance=_SQUARE)})""",
 )
+_add(
+    "r4_lloyd_step",
+    "scaled",
+    """SELECT k, cluster, count(*) AS customers, round(avg(x), 6) + 0.0 AS scaled_recency_days,
+           round(avg(y), 6) + 0.0 AS scaled_log_frequency, round(avg(z), 6) + 0.0 AS scaled_log_monetary
+       FROM (
+           SELECT customer_id, k, any_value(s.x) AS x, any_value(s.y) AS y, any_value(s.z) AS z,
+                  CAST(arg_min(c, struct_pack(d := (s.x - m.x) ** 2 + (s.y - m.y) ** 2 + (s.z - m.z) ** 2, c := c)) AS INTEGER) AS cluster
+           FROM scaled s,
+               (SELECT row_number() OVER (ORDER BY customer_id) - 1 AS c, x, y, z FROM scaled) m,
+               (VALUES (2), (3), (5)) AS ks(k)
+           WHERE c < k
+           GROUP BY customer_id, k)
+       GROUP BY k, cluster""",
+)
 _add(
     "r6b_assign_to_centroids",
     "scaled",

@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import pytest
 
+from tillroll.plans import load
 from tillroll.schema import SOURCE_COLUMNS
 from tillroll.session import new_path
 from tillroll.sources import raw_invoices as ri
@@ -139,10 +140,61 @@ def test_empty_file(spark, tmp_path):
     assert ri.load_report(rows).first().rows_read == 0
 
 
-def test_row_ids_are_unique_and_start_after(spark, tmp_path):
-    path = write(tmp_path, *["1,A,d,1,2009-12-01 07:45:00,1.0,7,UK"] * 50)
-    ids = [r.id for r in ri.with_row_id(typed(spark, path).repartition(4), 100).collect()]
-    assert len(set(ids)) == 50 and min(ids) > 100
+def test_row_ids_follow_the_content_under_any_split(spark):
+    rows = [
+        (f"{i % 40}", f"S{i % 3}", None if i % 7 == 0 else "d", i % 5, datetime(2010, 1 + i % 3, 1), Decimal("1.50"), i % 2 or None, "UK")
+        for i in range(400)
+    ]
+    schema = "invoice_no string, stock_code string, description string, quantity int, invoice_date timestamp_ntz, unit_price decimal(10,2), customer_id int, country string"
+    df = spark.createDataFrame(rows, schema)
+    want = None
+    for parts in (1, 7, 50, 7):
+        got = sorted((tuple(r) for r in ri.with_row_id(df.repartition(parts), 100).collect()), key=lambda r: r[0])
+        assert [r[0] for r in got] == list(range(101, 501))
+        assert got == (want or got)
+        want = got
+    dates = [r[1:][df.columns.index("invoice_date")] for r in want]
+    assert dates == sorted(dates)
+    assert ri.with_row_id(df.limit(0), 100).collect() == []
+
+
+def test_the_report_is_of_the_rows_that_were_stored(spark, tmp_path):
+    """One reading of the file: the report stands when the file is gone."""
+    lines = [
+        "1,A,d,1,2009-12-01 07:45:00,1.0,7,UK",
+        "1,A,d,1,2009-12-01 07:45:00,1.0,7",  # fields missing at the end
+        "1,A,d,1,2009-12-01 07:45:00,1.0,7,UK,more",
+        ",A,d,1,2009-12-01 07:45:00,1.0,7,UK",
+        "2,NA,d,many,never,free,7,UK",
+        "2,A,d,99999999999,2009-12-01,123456789.99,7,UK",
+        "2,A",
+    ]
+    path = write(tmp_path, *lines)
+    facts = new_path(spark, "facts")
+    report = load.load_invoices(spark, path, facts)
+    (tmp_path / "raw.csv").unlink()
+    found = {name: n for name, n in report.first().asDict().items() if n}
+    assert found == {
+        "rows_read": 7,
+        "rows_kept": 3,
+        "rows_dropped": 4,
+        "malformed": 3,
+        "invoice_no_missing": 1,
+        "stock_code_missing": 1,
+        "quantity_unreadable": 1,
+        "quantity_out_of_range": 1,
+        "quantity_missing": 1,
+        "invoice_date_unreadable": 1,
+        "invoice_date_missing": 1,
+        "unit_price_unreadable": 1,
+        "unit_price_out_of_range": 1,
+        "unit_price_missing": 1,
+    }
+    stored = tables.read_table(spark, facts)
+    assert stored.count() == 3 and {r.id for r in stored.collect()} == {1, 2, 3}
+    assert load.load_invoices(spark, write(tmp_path), facts).first().rows_read == 0
+    assert load.load_invoices(spark, write(tmp_path, lines[0]), facts).first().rows_kept == 1
+    assert {r.id for r in tables.read_table(spark, facts).collect()} == {1, 2, 3, 4}
 
 
 def test_append_keeps_and_replace_replaces(spark, tmp_path):

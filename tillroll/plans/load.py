@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.flags import with_flags
+from tillroll.session import new_path
 from tillroll.sources import raw_invoices, tables
 
 
@@ -16,10 +17,34 @@ def last_id(spark: SparkSession, facts_path: str) -> int:
     return tables.read_table(spark, facts_path).agg(F.max("id")).first()[0] or 0
 
 
+#: Where the reader keeps records that have fewer or more fields than the header.
+_MALFORMED = "__malformed_record"
+
+
 def load_invoices(spark: SparkSession, raw_path: str, facts_path: str) -> DataFrame:
-    """Append the usable rows of a raw file, flagged; returns the load report."""
-    typed = raw_invoices.coerce_types(raw_invoices.read_raw_csv(spark, raw_path))
-    usable = raw_invoices.drop_unusable(typed)
-    numbered = raw_invoices.with_row_id(usable, after=last_id(spark, facts_path))
+    """Append the usable rows of a raw file, flagged; returns the load report.
+
+    The file is parsed once: the counts are taken while the usable rows are written to the shared
+    folder, from where they are numbered and appended. So the report tells of the rows that were
+    stored, whatever becomes of the file. One row: ``rows_read``, ``rows_kept``, ``rows_dropped``, and
+    the records counted by each reason of ``raw_invoices.with_reasons``.
+    """
+    after = last_id(spark, facts_path)
+    raw = raw_invoices.read_raw_csv(spark, raw_path, malformed=_MALFORMED)
+    typed = raw_invoices.with_reasons(raw, _MALFORMED)
+    reasons = typed.schema["reasons"].dataType.names
+    counts = raw_invoices.report_counts()
+    counts += [F.count_if(F.col("reasons")[name]).alias(name) for name in reasons]
+    seen = Observation()
+    staged = new_path(spark, "load")
+    # Nothing is shuffled between the file and this write, so each record is counted once.
+    usable = typed.observe(seen, *counts).filter(raw_invoices.is_usable()).drop("reasons")
+    usable.write.parquet(staged)
+    report = seen.get
+    rows = spark.read.schema(usable.schema).parquet(staged)
+    numbered = raw_invoices.with_row_id(rows, after)
     tables.append_facts(with_flags(numbered), facts_path)
-    return raw_invoices.load_report(typed)
+    names = ("rows_read", "rows_kept", "rows_dropped", *reasons)
+    return spark.createDataFrame(
+        [tuple(report[name] for name in names)], ", ".join(f"{name} long" for name in names)
+    )

@@ -4,10 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillroll.schema import REQUIRED_COLUMNS, SOURCE_COLUMNS
+from tillroll.session import new_path
+
+# The order in which the rows of a load are numbered; equal rows are interchangeable.
+ID_ORDER = (
+    "invoice_date",
+    "invoice_no",
+    "stock_code",
+    "quantity",
+    "unit_price",
+    "customer_id",
+    "description",
+    "country",
+)
 
 # Fixed value: encoding of the source files.
 SOURCE_ENCODING = "ISO-8859-1"
@@ -54,18 +68,27 @@ def read_raw_csv(
     columns: Mapping[str, str] = SOURCE_COLUMNS,
     encoding: str = SOURCE_ENCODING,
     multiline: bool = True,
+    malformed: str | None = None,
 ) -> DataFrame:
     """All columns as text, located by header name. Types come later, so no inference pass.
 
     A quote inside a quoted text is doubled. With ``multiline`` a quoted text may hold line ends, and
     files are read side by side, each whole. Without, rows end at line ends, so that one huge file
     splits; a record that then lacks fields, as one cut inside quotes does, is an error. Files whose
-    headers differ from the first one's are an error as well.
+    headers differ from the first one's are an error as well. ``malformed`` names a column to add: the
+    whole record where it has more or fewer fields than the header, else null.
     """
     options = {"header": True, "encoding": encoding, "escape": '"', "enforceSchema": False}
     mode = "PERMISSIVE" if multiline else "FAILFAST"
-    raw = spark.read.options(**options, multiLine=multiline, mode=mode).csv(path)
-    return select_source_columns(raw, columns)
+    reader = spark.read.options(**options, multiLine=multiline, mode=mode)
+    raw = reader.csv(path)
+    if malformed is None:
+        return select_source_columns(raw, columns)
+    # Whether a record has all fields shows only if all are parsed.
+    kept = {"columnNameOfCorruptRecord": malformed, "columnPruning": False}
+    whole = StructType(raw.schema.fields).add(malformed, "string")
+    raw = reader.options(**kept).schema(whole).csv(path)
+    return select_source_columns(raw, {**columns, malformed: malformed})
 
 
 def select_source_columns(
@@ -118,7 +141,11 @@ def _date_time(name: str) -> Column:
 
 def coerce_types(raw: DataFrame) -> DataFrame:
     """Give every column its type; a text that does not parse becomes NULL."""
-    return raw.select(
+    return raw.select(*coerce_columns())
+
+
+def coerce_columns() -> list[Column]:
+    return [
         _present("invoice_no").alias("invoice_no"),
         _present("stock_code").alias("stock_code"),
         _present("description").alias("description"),
@@ -127,7 +154,7 @@ def coerce_types(raw: DataFrame) -> DataFrame:
         F.col("unit_price").try_cast("decimal(10,2)").alias("unit_price"),
         _whole_number("customer_id").alias("customer_id"),
         _present("country").alias("country"),
-    )
+    ]
 
 
 def drop_unusable(typed: DataFrame) -> DataFrame:
@@ -135,22 +162,81 @@ def drop_unusable(typed: DataFrame) -> DataFrame:
     return typed.dropna(subset=list(REQUIRED_COLUMNS))
 
 
-def load_report(typed: DataFrame) -> DataFrame:
-    """One row: rows read, rows kept, rows dropped for lack of a core field."""
+def is_usable() -> Column:
+    """Whether a typed row has all core fields."""
     usable = F.lit(True)
     for name in REQUIRED_COLUMNS:
         usable = usable & F.col(name).isNotNull()
-    return typed.agg(
+    return usable
+
+
+def report_counts() -> list[Column]:
+    """Rows read, rows kept, rows dropped for lack of a core field."""
+    return [
         F.count("*").alias("rows_read"),
-        F.count_if(usable).alias("rows_kept"),
-        F.count_if(~usable).alias("rows_dropped"),
+        F.count_if(is_usable()).alias("rows_kept"),
+        F.count_if(~is_usable()).alias("rows_dropped"),
+    ]
+
+
+def load_report(typed: DataFrame) -> DataFrame:
+    """One row: rows read, rows kept, rows dropped for lack of a core field."""
+    return typed.agg(*report_counts())
+
+
+def with_reasons(raw: DataFrame, malformed: str) -> DataFrame:
+    """``raw`` with its types, and ``reasons``: a struct of booleans that say what a record lacks.
+
+    For each core field ``<field>_missing`` (no text) and ``<field>_unreadable`` (a text that does not
+    parse); for the two numbers ``<field>_out_of_range`` (one that its type cannot hold) as well; and
+    ``malformed`` (fewer or more fields than the header). Several may hold of one record.
+    """
+    texts = raw.select(
+        F.struct(*[F.col(name) for name in REQUIRED_COLUMNS]).alias("__text"),
+        F.col(malformed).isNotNull().alias("__malformed"),
+        *[F.col(name) for name in raw.columns if name != malformed],
     )
+    both = texts.select("__text", "__malformed", *coerce_columns())
+    reasons = [F.col("__malformed").alias("malformed")]
+    for name in REQUIRED_COLUMNS:
+        text = F.col("__text")[name]
+        absent = text.isNull() | text.isin(*MISSING_TEXTS)
+        lost = ~absent & F.col(name).isNull()
+        large = F.lit(False)
+        if name in ("quantity", "unit_price"):
+            large = lost & text.rlike(_NUMBER)
+            reasons.append(large.alias(f"{name}_out_of_range"))
+        reasons.append(absent.alias(f"{name}_missing"))
+        reasons.append((lost & ~large).alias(f"{name}_unreadable"))
+    typed = [name for name in both.columns if not name.startswith("__")]
+    return both.select(*typed, F.struct(*reasons).alias("reasons"))
 
 
 def with_row_id(df: DataFrame, after: int = 0) -> DataFrame:
-    """Number the rows of one load with ids above ``after``: unique, increasing, with gaps.
+    """Number the rows of one load from ``after`` + 1 on, without gaps, in the order of their content.
 
-    Needs no shuffle. A retried task gives the same ids as long as ``df`` is read straight from
-    files, which is how a load uses it.
+    A row's id is its rank in ``ID_ORDER``, so it is the same however the load is split, and in a
+    rerun; equal rows share out the ids between them. The rows are range-sorted once and stored;
+    how many each sorted partition has says where its numbers begin. A range sort reads its input
+    twice: hand in a stored table.
     """
-    return df.select((F.monotonically_increasing_id() + F.lit(after + 1)).alias("id"), *df.columns)
+    spark = df.sparkSession
+    columns = [name for name in ID_ORDER if name in df.columns]
+    order = [F.asc_nulls_first(name) for name in (*columns, *sorted(set(df.columns) - set(columns)))]
+    path = new_path(spark, "sorted-load")
+    ranked = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranked.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    # The upper bits of the number are those of the partition, the lower 33 count within it.
+    part, nth = F.shiftright("__row", 33), F.col("__row").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = rows.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    # One row for each partition of the sort.
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        F.col("__part"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")
+    )
+    return (
+        rows.withColumn("__part", part)
+        .join(starts, "__part")
+        .select((nth + F.col("__before") + F.lit(after + 1)).alias("id"), *df.columns)
+    )
