@@ -168,7 +168,7 @@ class Tokenizers:
         return [bytes(byte[c] for c in sign) if all(c in byte for c in sign) else sign.encode() for sign in signs]
 
     def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        return [self._encode_a(piece) for piece in pieces], self._b.encode([piece[1:] for piece in pieces])
+        return [self._encode_a(piece) for piece in pieces], self._b.encode([piece[1:] for piece in pieces], num_threads=1)
 
     def pieces(self, data: np.ndarray, offsets: np.ndarray, most: int) -> np.ndarray:
         """Where pieces of about ``most`` bytes begin. ``data``: texts end to end, a space before each."""
