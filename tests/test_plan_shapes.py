@@ -1,9 +1,11 @@
 """What the physical plans must and must not contain."""
 
+import re
+
 import pytest
 
 from contract.queries import QUERIES
-from tillroll.operators import reports, rfm, views
+from tillroll.operators import anomalies, reports, rfm, views
 from tillroll.sources import testtables
 
 # These run jobs while they are built: fits, exports and reruns.
@@ -70,3 +72,31 @@ def test_date_slices_skip_months(spark, sf):
 
 def test_top_products_keeps_only_the_top_while_sorting(spark, sf):
     assert "TakeOrderedAndProject" in plan(reports.top_products(testtables.facts(spark, sf)))
+
+
+def test_unflagged_facts_are_not_moved(spark, sf):
+    """With broadcasts off: months without flagged facts are not read, and of the others only facts
+    that may be flagged pass the scan's filter."""
+    facts, scores = testtables.facts(spark, sf), testtables.scores(spark, sf)
+    flagged = scores.filter("is_anomaly")
+    months = flagged.select("invoice_month").distinct().count()
+    assert 0 < months < facts.select("invoice_month").distinct().count()
+    passing, _ = anomalies.flagged_facts(facts, scores)
+    assert flagged.count() <= passing.count() <= 1.05 * flagged.count() + 5
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (
+            anomalies.flagged_detail(facts, scores),
+            anomalies.top_flagged_customers(facts, scores),
+            anomalies.customer_concentration(facts, scores),
+        ):
+            text = plan(df)
+            scan = next(line for line in text.split("\n") if "customer_id" in line and "FileScan" in line)
+            filters = scan[scan.index("PartitionFilters") : scan.index("PushedFilters")]
+            assert len(re.findall(r"\d{4}-\d\d-01", filters)) == months
+            above = text[: text.index(scan)]
+            # Between the scan and the join's exchange stands the filter.
+            below = above[above.rindex("Exchange hashpartitioning(id") :]
+            assert "Filter" in below and "xxhash64(id" in below and "Subquery" in below
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

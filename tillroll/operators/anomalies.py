@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.flags import ensure_flags, genuine_sale
 from tillroll.functions.measures import exact_mean, line_value, percent
+from tillroll.functions.membership import KeyFilter
 from tillroll.functions.quantiles import exact_quantile
 from tillroll.operators.isolation_forest import fit_forest, score_rows
 from tillroll.operators.views import anomaly_detail
+from tillroll.sources.tables import MONTH
 
 # Fixed value: share of genuine sales taken to be unusual.
 CONTAMINATION = 0.01
@@ -23,8 +27,8 @@ FEATURES = (
 )
 
 
-def sale_features(facts: DataFrame) -> DataFrame:
-    """What the model sees of each genuine sale; Sunday is day 1."""
+def sale_features(facts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """What the model sees of each genuine sale; Sunday is day 1. ``keep``: further columns."""
     return (
         ensure_flags(facts)
         .filter(genuine_sale())
@@ -36,6 +40,7 @@ def sale_features(facts: DataFrame) -> DataFrame:
             line_value().alias("total_value"),
             F.hour("invoice_date").alias("invoice_hour"),
             F.dayofweek("invoice_date").alias("invoice_dow"),
+            *keep,
         )
     )
 
@@ -55,9 +60,10 @@ def fit_sales_forest(facts: DataFrame, **settings) -> DataFrame:
     return fit_forest(log_features(sale_features(facts)), "id", FEATURES, **settings)
 
 
-def score_sales(facts: DataFrame, forest: DataFrame) -> DataFrame:
-    """(id, raw_score) for every genuine sale."""
-    return score_rows(log_features(sale_features(facts)), forest, FEATURES, ["id"])
+def score_sales(facts: DataFrame, forest: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(id, further columns, raw_score) for every genuine sale."""
+    sales = log_features(sale_features(facts, keep))
+    return score_rows(sales, forest, FEATURES, ["id", *keep])
 
 
 def flag_top_share(
@@ -75,14 +81,30 @@ def flag_top_share(
 
 
 def score_table(flagged: DataFrame) -> DataFrame:
-    """All scored rows as they are stored."""
+    """All scored rows as they are stored, with the fact's month where it was kept."""
     return flagged.select(
         F.col("id").alias("transaction_id"),
         F.col("anomaly_score").cast("decimal(10,6)").alias("anomaly_score"),
         "is_anomaly",
+        *[name for name in (MONTH,) if name in flagged.columns],
     )
 
 
+def flagged_facts(facts: DataFrame, scores: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The facts that may be flagged, and the flagged scores: what a join of the two has to move.
+
+    A Bloom filter of the flagged ids is tested in the scan of the facts, so the others are read and
+    left where they are. Where scores carry the fact's month, only months with flagged facts are read
+    (at most one value for each month comes to the driver).
+    """
+    flagged = scores.filter("is_anomaly")
+    if MONTH in facts.columns and MONTH in scores.columns:
+        months = [row[0] for row in flagged.select(MONTH).distinct().collect()]
+        facts = facts.filter(F.col(MONTH).isin([month for month in months if month is not None]))
+    ids = KeyFilter(flagged, "transaction_id")
+    return facts.filter(ids.may_hold(F.col("id"))), flagged
+
+
 def top_anomalies(facts: DataFrame, scores: DataFrame, limit: int = 50) -> DataFrame:
     """The strangest transactions, for review by hand. Picks them before joining."""
     top = scores.orderBy(F.desc("anomaly_score"), "transaction_id").limit(limit)
@@ -101,8 +123,8 @@ def top_anomalies(facts: DataFrame, scores: DataFrame, limit: int = 50) -> DataF
 
 
 def flagged_detail(facts: DataFrame, scores: DataFrame) -> DataFrame:
-    """Flagged transactions in full, strangest first. Only flagged ids are joined."""
-    return anomaly_detail(facts, scores.filter("is_anomaly")).orderBy(
+    """Flagged transactions in full, strangest first. Only facts that may be flagged are joined."""
+    return anomaly_detail(*flagged_facts(facts, scores)).orderBy(
         F.desc("anomaly_score"), "transaction_id"
     )
 
@@ -118,10 +140,9 @@ def anomaly_overview(scores: DataFrame) -> DataFrame:
 
 def top_flagged_customers(facts: DataFrame, scores: DataFrame, limit: int = 3) -> DataFrame:
     """Customers with the most flagged transactions."""
-    flagged = scores.filter("is_anomaly").select("transaction_id")
+    known, flagged = flagged_facts(facts.filter(F.col("customer_id").isNotNull()), scores)
     return (
-        facts.filter(F.col("customer_id").isNotNull())
-        .join(flagged, F.col("id") == F.col("transaction_id"))
+        known.join(flagged.select("transaction_id"), F.col("id") == F.col("transaction_id"))
         # One row per customer and country first: a string maximum cannot be hash-aggregated.
         .groupBy("customer_id", "country")
         .agg(

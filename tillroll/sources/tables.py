@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
@@ -29,9 +30,10 @@ def append_facts(df: DataFrame, path: str) -> None:
     )
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Rerunnable full replace. ``df`` must not read from ``path``."""
-    df.write.mode("overwrite").parquet(path)
+def replace_table(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
+    """Rerunnable full replace, in folders ``by`` some columns. ``df`` must not read from ``path``."""
+    rows = df.hint("rebalance", *by) if by else df
+    rows.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -18,7 +18,7 @@ from tillroll.operators.anomalies import sale_features
 from tillroll.operators.rfm import rfm
 from tillroll.operators.segments import SEGMENT_COLUMNS, label_segments
 from tillroll.session import new_path
-from tillroll.sources.tables import append_facts, read_table, replace_table
+from tillroll.sources.tables import MONTH, append_facts, read_table, replace_table
 
 # Codes planted for parts whose key leaves these remainders on division by 97.
 _PLANTED_CODES = {0: "POST", 1: "M", 2: "m", 3: "DOT", 4: "BANK CHARGES"}
@@ -138,7 +138,7 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stand-in for the model's score table that SQL can state, stored."""
-    sales = sale_features(facts(spark, sf_dir))
+    sales = sale_features(facts(spark, sf_dir), [MONTH])
     over = F.col("total_value") - F.lit(_UNUSUAL_VALUE)
     rule = sales.select(
         F.col("id").alias("transaction_id"),
@@ -146,8 +146,11 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
             "anomaly_score"
         ),
         (F.col("total_value") > _UNUSUAL_VALUE).alias("is_anomaly"),
+        MONTH,
+    )
+    return _once(
+        spark, sf_dir, "transaction_anomalies", lambda path: replace_table(rule, path, by=[MONTH])
     )
-    return _once(spark, sf_dir, "transaction_anomalies", lambda path: replace_table(rule, path))
 
 
 def narrative_history(spark: SparkSession, sf_dir: str) -> DataFrame:
