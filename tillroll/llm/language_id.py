@@ -36,6 +36,8 @@ BUCKETS = 8192
 EVIDENCE = 100
 #: How many pages' worth the wider group counts for in a narrower one's estimate.
 STRENGTH = 5.0
+#: Languages that a model may have: so many times ``BUCKETS`` numbers come to the driver.
+MOST_LANGUAGES = 200
 #: Languages that a task sums up before it hands on what it has.
 LANGUAGES_HELD = 256
 
@@ -64,8 +66,12 @@ def text_model(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple
     """Languages in order, and log P(bucket | language), one row for each.
 
     Counted over all documents with a language; one is added to every count. What comes to the
-    driver is one number for each language and bucket.
+    driver is one number for each language and bucket. More than ``MOST_LANGUAGES`` different values
+    are an error: the column should hold language codes.
     """
+    named = docs.filter(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"))
+    if named.distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+        raise ValueError(f"column {lang} has more than {MOST_LANGUAGES} languages")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
@@ -202,7 +208,7 @@ def identify(
     ``text_lang`` is what the text alone says. A page without text, address or declaration is decided
     by what else there is; of equals the first language in order. Nulls are empty. Without any
     document of known language, ``lang``, ``text_lang`` and ``probability`` are null. Repeated rows
-    count and are answered each; no rows give none.
+    count and are answered each; no rows give none. Columns not named are ignored.
     """
     languages, log_share = text_model(docs, text, lang)
     n = len(languages)
