@@ -32,7 +32,9 @@ def drafts(
 
 
 def save_drafts(spark: SparkSession, drafted: DataFrame, now: Column, path: str) -> DataFrame:
-    """Upsert into the stored history and return its new state."""
-    history = tables.read_last_version(spark, path, NARRATIVES)
-    tables.append_version(narratives.upsert(history, drafted, now), path)
+    """Upsert into the stored history and return its new state. Of writers at the same time none
+    loses what another one saved."""
+    tables.update_versions(
+        spark, path, NARRATIVES, lambda history: narratives.upsert(history, drafted, now)
+    )
     return tables.read_last_version(spark, path, NARRATIVES)

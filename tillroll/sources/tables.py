@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
+from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,14 +33,100 @@ def append_facts(df: DataFrame, path: str) -> None:
     )
 
 
+class Versions:
+    """The states of a table that is saved whole, each in a folder of its own under ``path``.
+
+    A state counts once its marker, a file named by its number that holds the folder's name, is
+    there. Markers are created exclusively, which file systems of a cluster do atomically, so of two
+    writers that take the same number one fails and learns of the other. A write that dies leaves the
+    states before it as they are. A marker that stays empty is of a writer that died between creating
+    and filling it; after ``PATIENCE`` seconds its number is passed over.
+    """
+
+    MARKERS = "_versions"
+    PATIENCE = 20.0
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._spark, self.path = spark, path
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._files = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _markers(self) -> dict[int, str]:
+        """Number -> folder, empty for a marker that is not filled."""
+        found = self._files.globStatus(self._path(f"{self.path}/{self.MARKERS}/[0-9]*")) or ()
+        out = {}
+        for status in found:
+            stream = self._files.open(status.getPath())
+            try:
+                held = self._spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            out[int(status.getPath().getName())] = held
+        # Histories of before markers: a folder counts by what Spark leaves last.
+        old = self._files.globStatus(self._path(f"{self.path}/{VERSION}=*/_SUCCESS")) or ()
+        for status in old:
+            folder = status.getPath().getParent().getName()
+            out.setdefault(int(folder.removeprefix(f"{VERSION}=")), folder)
+        return out
+
+    def last(self) -> tuple[int, str | None]:
+        """The number to follow and the folder of the last state; 0 and none where there is none."""
+        waited = 0.0
+        while True:
+            markers = self._markers()
+            last = max(markers, default=0)
+            if not last or markers[last] or waited >= self.PATIENCE:
+                filled = [number for number, folder in markers.items() if folder]
+                return last, markers[max(filled)] if filled else None
+            time.sleep(0.1)
+            waited += 0.1
+
+    def write(self, df: DataFrame, by: Sequence[str] = ()) -> str:
+        """``df`` in a new folder, which no reader knows yet."""
+        folder = f"state-{uuid4().hex}"
+        rows = df.hint("rebalance", *by) if by else df
+        rows.write.partitionBy(*by).parquet(f"{self.path}/{folder}")
+        return folder
+
+    def commit(self, number: int, folder: str) -> bool:
+        """Whether ``folder`` became state ``number``; not if there is one already."""
+        marker = self._path(f"{self.path}/{self.MARKERS}/{number}")
+        try:
+            stream = self._files.create(marker, False)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            return False
+        stream.write(bytearray(folder.encode()))
+        stream.close()
+        return True
+
+    def drop_before(self, number: int) -> None:
+        """Delete the folders of states before ``number``; the markers stay."""
+        for own, folder in self._markers().items():
+            if own < number and folder:
+                self._files.delete(self._path(f"{self.path}/{folder}"), True)
+
+
 def replace_table(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    """Rerunnable full replace, in folders ``by`` some columns. ``df`` must not read from ``path``."""
-    rows = df.hint("rebalance", *by) if by else df
-    rows.write.mode("overwrite").partitionBy(*by).parquet(path)
+    """Rerunnable full replace, in folders ``by`` some columns.
+
+    The new rows are written beside the old ones and become the table by one commit, so a write that
+    fails leaves the old table. The state before stays for readers that have begun; older ones go.
+    ``df`` may read from ``path``. Of two writers the later commit is the table.
+    """
+    versions = Versions(df.sparkSession, path)
+    folder = versions.write(df, by)
+    number = versions.last()[0] + 1
+    while not versions.commit(number, folder):
+        number += 1
+    versions.drop_before(number - 1)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A table of files, or the last state of one that is replaced as a whole."""
+    folder = Versions(spark, path).last()[1]
+    return spark.read.parquet(f"{path}/{folder}" if folder else path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -50,33 +139,45 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def _current_version(spark: SparkSession, path: str) -> int:
-    """The last version whose write was committed, as its marker tells; 0 where there is none."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    marked = files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSION}=*/_SUCCESS"))
-    folders = [status.getPath().getParent().getName() for status in marked or ()]
-    return max((int(name.removeprefix(f"{VERSION}=")) for name in folders), default=0)
-
-
 def append_version(df: DataFrame, path: str) -> None:
-    """Save the next state of a table that is computed from its last one, beside the older ones.
-
-    ``df`` may read from ``path``. A version counts once its write has left the marker that Spark
-    leaves last; one that failed halfway is not seen, and the next save replaces it. One writer at a
-    time.
+    """Save the next state of a table, beside the older ones, whatever the last one is."""
+    versions = Versions(df.sparkSession, path)
+    folder = versions.write(df)
+    number = versions.last()[0] + 1
+    while not versions.commit(number, folder):
+        number += 1
+
+
+def update_versions(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    change: Callable[[DataFrame], DataFrame],
+    attempts: int = 20,
+) -> None:
+    """Save ``change(last state)`` as the next state.
+
+    Where another writer has saved one meanwhile, the change is computed anew from that one, so no
+    change is lost. After so many ``attempts`` it is given up with an error.
     """
-    version = _current_version(df.sparkSession, path) + 1
-    df.write.mode("overwrite").parquet(f"{path}/{VERSION}={version}")
+    versions = Versions(spark, path)
+    for _ in range(attempts):
+        number, folder = versions.last()
+        before = _state(spark, path, folder, schema)
+        if versions.commit(number + 1, versions.write(change(before))):
+            return
+    raise RuntimeError(f"{path} changed {attempts} times while a change of it was computed")
+
+
+def _state(spark: SparkSession, path: str, folder: str | None, schema: StructType) -> DataFrame:
+    if folder is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/{folder}")
 
 
 def read_last_version(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The state saved last; no rows where nothing has been saved yet."""
-    version = _current_version(spark, path)
-    if version == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/{VERSION}={version}")
+    return _state(spark, path, Versions(spark, path).last()[1], schema)
 
 
 def _moment(value: str | date | datetime) -> Column:
