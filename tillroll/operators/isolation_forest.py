@@ -81,8 +81,11 @@ def draw_bags(
         )
 
     none = F.array().cast("array<struct<tree:int,draw:double>>")
+    # So many trees no row joins: with their mean known, more have a chance below 1e-20.
+    mean = F.least(F.col("__p"), F.lit(1.0)) * float(trees)
+    most = F.least(F.lit(trees), F.ceil(mean + F.sqrt(mean) * 10 + 12)).cast("int")
     draws = F.aggregate(
-        F.sequence(F.lit(1), F.lit(trees)),
+        F.sequence(F.lit(1), most),
         F.struct(F.col("__first").alias("next"), none.alias("trees")),
         join_next,
         lambda acc: acc["trees"],
