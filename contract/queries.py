@@ -130,6 +130,16 @@ def s4_load_reasons(spark, sf_dir):
     return load.load_invoices(spark, _raw_file(spark, sf_dir), new_path(spark, "loaded"))
 
 
+@query
+def s6_append_once(spark, sf_dir):
+    """The same file twice into a table with a ledger: the second load adds nothing."""
+    raw, path = _raw_file(spark, sf_dir), new_path(spark, "loaded-once")
+    load.load_invoices(spark, raw, path, once=True)
+    load.load_invoices(spark, raw, path, once=True)
+    columns = [name for name in raw_invoices.ID_ORDER]
+    return tables.read_table(spark, path).select("id", *columns)
+
+
 @query
 def s5_row_ids(spark, sf_dir):
     path = new_path(spark, "usable")

@@ -346,7 +346,8 @@ _add(
     "s4_load_reasons",
     "raw usable",
     f"""SELECT count(*) AS rows_read, (SELECT count(*) FROM usable) AS rows_kept,
-       count(*) - (SELECT count(*) FROM usable) AS rows_dropped, {_REASONS} FROM raw""",
+       count(*) - (SELECT count(*) FROM usable) AS rows_dropped, CAST(0 AS BIGINT) AS rows_known,
+       {_REASONS} FROM raw""",
 )
 _add(
     "s5_row_ids",
@@ -355,6 +356,13 @@ _add(
            customer_id NULLS FIRST, description NULLS FIRST, country NULLS FIRST) AS id,
        {RAW} FROM usable""",
 )
+_add(
+    "s6_append_once",
+    "usable",
+    f"""SELECT row_number() OVER (ORDER BY invoice_date, invoice_no, stock_code, quantity, unit_price,
+           customer_id NULLS FIRST, description NULLS FIRST, country NULLS FIRST) AS id,
+       {RAW} FROM usable""",
+)
 _add(
     "s6_append_twice",
     "usable",

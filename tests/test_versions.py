@@ -6,6 +6,7 @@ from threading import Barrier
 import pytest
 from pyspark.sql import functions as F
 
+from tillroll.plans import load
 from tillroll.session import new_path
 from tillroll.sources import tables
 from tillroll.sources.tables import Versions
@@ -99,3 +100,70 @@ def test_a_state_that_always_changes_is_given_up(spark):
 
     with pytest.raises(RuntimeError, match="changed 2 times"):
         tables.update_versions(spark, path, spark.range(1).schema, change, attempts=2)
+
+
+# Loads that are stored once ----------------------------------------------------------------------
+
+HEADER = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country"
+
+
+def write_raw(folder, name, *numbers):
+    folder.mkdir(exist_ok=True)
+    lines = [f"{n},A,d,{n},2009-12-0{1 + n % 9} 07:45:00,1.0,7,UK" for n in numbers]
+    (folder / name).write_text("\n".join((HEADER, *lines)))
+    return str(folder)
+
+
+def test_a_rerun_adds_no_rows_and_new_files_do(spark, tmp_path):
+    path = new_path(spark, "facts")
+    raw = write_raw(tmp_path / "raw", "one.csv", 1, 2, 3)
+    assert load.load_invoices(spark, raw, path, once=True).first().rows_known == 0
+    assert load.load_invoices(spark, raw, path, once=True).first().rows_known == 3
+    write_raw(tmp_path / "raw", "renamed.csv", 3, 2, 1)  # the same rows by another name, in another order
+    write_raw(tmp_path / "raw", "two.csv", 4, 4, 5)
+    report = load.load_invoices(spark, raw, path, once=True).first()
+    assert (report.rows_read, report.rows_known) == (9, 6)
+    rows = tables.read_table(spark, path).orderBy("id").collect()
+    assert [r.id for r in rows] == [1, 2, 3, 4, 5, 6]
+    assert [r.invoice_no for r in rows] == ["1", "2", "3", "4", "4", "5"]
+    assert "load" not in rows[0].asDict() and tables.read_ledger(spark, path).count() == 2
+    with pytest.raises(ValueError, match="with a ledger"):
+        load.load_invoices(spark, raw, path)
+
+
+def test_a_load_that_dies_leaves_no_rows(spark, tmp_path, monkeypatch):
+    path = new_path(spark, "facts")
+    raw = write_raw(tmp_path / "raw", "one.csv", 1, 2)
+    load.load_invoices(spark, raw, path, once=True)
+    more = write_raw(tmp_path / "more", "two.csv", 3, 4, 5)
+
+    def die(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patched, pytest.raises(KeyboardInterrupt):
+        patched.setattr(Versions, "commit", die)  # after the rows were written
+        load.load_invoices(spark, more, path, once=True)
+    assert tables.read_table(spark, path).count() == 2
+    load.load_invoices(spark, more, path, once=True)
+    assert [r.id for r in tables.read_table(spark, path).orderBy("id").collect()] == [1, 2, 3, 4, 5]
+
+
+def test_two_loads_at_the_same_time(spark, tmp_path):
+    """One file in both: its rows are stored once, and ids do not meet."""
+    path = new_path(spark, "facts")
+    first = write_raw(tmp_path / "a", "one.csv", 1, 2, 3)
+    write_raw(tmp_path / "b", "one.csv", 1, 2, 3)
+    second = write_raw(tmp_path / "b", "two.csv", 4, 5)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda raw: load.load_invoices(spark, raw, path, once=True), (first, second)))
+    rows = tables.read_table(spark, path).collect()
+    assert sorted(r.invoice_no for r in rows) == ["1", "2", "3", "4", "5"]
+    assert sorted(r.id for r in rows) == [1, 2, 3, 4, 5]
+
+
+def test_a_table_without_a_ledger_gets_none(spark, tmp_path):
+    path = new_path(spark, "facts")
+    raw = write_raw(tmp_path / "raw", "one.csv", 1)
+    load.load_invoices(spark, raw, path)
+    with pytest.raises(ValueError, match="without a ledger"):
+        load.load_invoices(spark, raw, path, once=True)

@@ -28,7 +28,9 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
         sub.add_argument("warehouse")
         return sub
 
-    step("load", "append a raw invoice file").add_argument("raw")
+    sub = step("load", "append a raw invoice file")
+    sub.add_argument("raw")
+    sub.add_argument("--once", action="store_true", help="leave out files that were loaded before")
     step("summary", "counts of what is odd about the rows")
     sub = step("segment", "rebuild the customer segments")
     sub.add_argument("--k", type=int, default=3)
@@ -57,7 +59,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         return tables.read_table(spark, path)
 
     if args.step == "load":
-        load.load_invoices(spark, args.raw, facts_path).show()
+        load.load_invoices(spark, args.raw, facts_path, args.once).show()
     elif args.step == "summary":
         quality.cleaning_summary(read(facts_path)).show(truncate=False)
     elif args.step == "segment":

@@ -11,13 +11,24 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 MONTH = "invoice_month"
 VERSION = "version"
-
-
-def append_facts(df: DataFrame, path: str) -> None:
+LOAD = "load"
+LEDGER = "_ledger"
+#: What the ledger of a fact table says of each file that was loaded.
+LEDGER_SCHEMA = StructType(
+    [
+        StructField(LOAD, StringType()),
+        StructField("file", StringType()),
+        StructField("rows", LongType()),
+        StructField("checksum", StringType()),
+    ]
+)
+
+
+def append_facts(df: DataFrame, path: str, mode: str = "append") -> None:
     """Append one load, in folders by invoice month. Loading twice stores the rows twice.
 
     The rebalance hint gathers each month before the write, so that a task does not open a file
@@ -27,7 +38,7 @@ def append_facts(df: DataFrame, path: str) -> None:
     rows = df.withColumn(MONTH, F.trunc("invoice_date", "month")).hint("rebalance", MONTH)
     (
         rows.sortWithinPartitions(MONTH, "invoice_date")
-        .write.mode("append")
+        .write.mode(mode)
         .partitionBy(MONTH)
         .parquet(path)
     )
@@ -124,9 +135,70 @@ def replace_table(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A table of files, or the last state of one that is replaced as a whole."""
+    """A table of files, the last state of one that is replaced as a whole, or of one with a ledger
+    the loads that the ledger names."""
     folder = Versions(spark, path).last()[1]
-    return spark.read.parquet(f"{path}/{folder}" if folder else path)
+    if folder:
+        return spark.read.parquet(f"{path}/{folder}")
+    if not has_ledger(spark, path):
+        return spark.read.parquet(path)
+    loads = [row[0] for row in read_ledger(spark, path).select(LOAD).distinct().collect()]
+    return spark.read.parquet(path).filter(F.col(LOAD).isin(loads)).drop(LOAD)
+
+
+def has_ledger(spark: SparkSession, path: str) -> bool:
+    return Versions(spark, f"{path}/{LEDGER}").last()[0] > 0
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The files that were loaded into the fact table at ``path``, with their loads."""
+    return read_last_version(spark, f"{path}/{LEDGER}", LEDGER_SCHEMA)
+
+
+def append_once(
+    staged: DataFrame,
+    path: str,
+    file: str,
+    finish: Callable[[DataFrame], DataFrame],
+    attempts: int = 20,
+) -> DataFrame:
+    """Append the rows of files that the table has not seen; returns the ledger's rows of this load.
+
+    ``staged`` is a stored table with the column ``file``; ``finish`` makes facts of its other columns.
+    A file is known by the number and the hashes of its rows, whatever its name. The load is written to
+    a folder of its own, which readers do not look into before the ledger names it, and one commit of
+    the ledger's next state both stores the rows and remembers the files. So a load that dies leaves no
+    rows, and of two loads of one file at the same time the second finds it known and adds none.
+    """
+    spark = staged.sparkSession
+    if table_exists(spark, path) and not has_ledger(spark, path):
+        raise ValueError(f"{path} was loaded without a ledger")
+    row = F.xxhash64(*[F.struct(F.col(name)) for name in staged.columns if name != file])
+    checksum = F.concat_ws(
+        "-", F.count("*"), F.hex(F.bit_xor(row)), F.sum(row.cast("decimal(38,0)")).cast("string")
+    )
+    files = staged.groupBy(F.col(file).alias("file")).agg(
+        F.count("*").alias("rows"), checksum.alias("checksum")
+    )
+    # Of equal files the first by name.
+    files = files.groupBy("rows", "checksum").agg(F.min("file").alias("file"))
+    versions = Versions(spark, f"{path}/{LEDGER}")
+    for _ in range(attempts):
+        number, folder = versions.last()
+        ledger = _state(spark, versions.path, folder, LEDGER_SCHEMA)
+        load = f"load-{uuid4().hex}"
+        fresh = files.join(ledger.select("checksum"), "checksum", "left_anti").select(
+            F.lit(load).alias(LOAD), "file", "rows", "checksum"
+        )
+        found = fresh.collect()  # one row for each file of the load
+        if not found:
+            return spark.createDataFrame([], LEDGER_SCHEMA)
+        fresh = spark.createDataFrame(found, LEDGER_SCHEMA)
+        rows = staged.join(fresh.select(F.col("file").alias(file)), file, "left_semi").drop(file)
+        append_facts(finish(rows), f"{path}/{LOAD}={load}", mode="errorifexists")
+        if versions.commit(number + 1, versions.write(ledger.unionByName(fresh))):
+            return fresh
+    raise RuntimeError(f"{path} was loaded into {attempts} times while a load was written")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
