@@ -56,9 +56,12 @@ def test_all_models_move_as_each_would_alone(spark, cell):
         assert steps == want_steps
 
 
-def test_models_are_the_same_under_any_partitioning(spark):
+def test_models_are_the_same_under_any_partitioning(spark, monkeypatch):
     df, points = table(spark)
-    fits = [lloyd.fit_models(df.repartition(n), [2, 4, 6], 3, 5, "id", COLUMNS) for n in (1, 7, 40)]
+    fits = [lloyd.fit_models(df.repartition(n), [2, 4, 6], 3, 5, "id", COLUMNS) for n in (1, 7)]
+    monkeypatch.setattr(lloyd, "POINTS_PER_PARTITION", 100)
+    monkeypatch.setattr(lloyd, "FEW_TASKS", 1)  # and when sums are aggregated first
+    fits.append(lloyd.fit_models(df.repartition(40), [2, 4, 6], 3, 5, "id", COLUMNS))
     for other in fits[1:]:
         for a, b in zip(fits[0], other, strict=True):
             assert (a.centres == b.centres).all() and a.cost == b.cost and a.sizes == b.sizes

@@ -35,6 +35,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Points to a cell, at most; points to a partition of the stored cells.
 CELL = 128
 POINTS_PER_PARTITION = 500_000
+#: A small table is cut for all cores, but not into fewer points than this.
+LEAST_POINTS = 2_048
+#: Sums of so many tasks are added up by the driver, of more by an aggregation first.
+FEW_TASKS = 64
 #: Rows from which first centres are drawn, those whose key hashes lowest.
 SAMPLE = 10_000
 #: Centres have settled once none moves by more than this.
@@ -47,11 +51,13 @@ _LOW = (1 << 32) - 1
 
 
 class Cells(NamedTuple):
-    """``table``: a row for each cell. A coordinate is its whole number over 2 ** ``scale``."""
+    """``table``: a row for each cell, in ``tasks`` files. A coordinate is its whole number over
+    2 ** ``scale``."""
 
     table: DataFrame
     scale: int
     axes: int
+    tasks: int
 
 
 class Model(NamedTuple):
@@ -74,17 +80,22 @@ def finite(columns: Sequence[str]) -> Column:
     return whole
 
 
-def morton_code(points: DataFrame, names: Sequence[str]) -> Column:
-    """A number that is close for points that are close: the bits of their places, in turn."""
-    bits = min(16, 62 // len(names))
+def ranges_of(points: DataFrame, names: Sequence[str]) -> tuple[int, list[tuple[float, float]]]:
+    """The number of rows, and each column's least and greatest value."""
     seen = points.agg(
+        F.count("*").alias("n"),
         *[F.min(x).cast("double").alias(f"low_{x}") for x in names],
         *[F.max(x).cast("double").alias(f"high_{x}") for x in names],
     ).first()
+    return int(seen["n"]), [(seen[f"low_{x}"] or 0.0, seen[f"high_{x}"] or 0.0) for x in names]
+
+
+def morton_code(names: Sequence[str], ranges: Sequence[tuple[float, float]]) -> Column:
+    """A number that is close for points that are close: the bits of their places, in turn."""
+    bits = min(16, 62 // len(names))
     one = F.lit(1).cast("long")
     code = F.lit(0).cast("long")
-    for i, x in enumerate(names):
-        low, high = seen[f"low_{x}"] or 0.0, seen[f"high_{x}"] or 0.0
+    for i, (x, (low, high)) in enumerate(zip(names, ranges, strict=True)):
         # Halves, since the difference of two large numbers may not be finite.
         share = (F.col(x).cast("double") / 2 - low / 2) / F.lit(max(high / 2 - low / 2, 5e-324))
         level = F.greatest(F.lit(0.0), F.least(share * float(1 << bits), F.lit(float((1 << bits) - 1)))).cast("long")
@@ -103,16 +114,13 @@ def cells_of(features: DataFrame, columns: Sequence[str], cell: int = CELL) -> C
         *[F.col(name).cast("double").alias(f"x{i}") for i, name in enumerate(columns)]
     )
     names = points.columns
-    seen = points.agg(
-        F.count("*").alias("n"),
-        *[F.min(x).alias(f"low_{x}") for x in names],
-        *[F.max(x).alias(f"high_{x}") for x in names],
-    ).first()
-    most = max((abs(seen[f"{side}_{x}"] or 0.0) for side in ("low", "high") for x in names), default=0.0)
+    n, ranges = ranges_of(points, names)
+    most = max((abs(end) for ends in ranges for end in ends), default=0.0)
     scale = _BITS - (math.frexp(most)[1] if most else 0)
     whole = points.select(*[F.rint(F.col(x) * F.lit(2.0**scale)).cast("long").alias(x) for x in names])
-    code = morton_code(whole, names)
-    partitions = max(1, -(-int(seen["n"]) // POINTS_PER_PARTITION))
+    code = morton_code(names, [(low * 2.0**scale, high * 2.0**scale) for low, high in ranges])
+    cores = features.sparkSession.sparkContext.defaultParallelism
+    partitions = max(1, -(-n // POINTS_PER_PARTITION), min(cores, n // LEAST_POINTS))
     order = ["code", *names]
     schema = T.StructType(
         [
@@ -151,7 +159,7 @@ def cells_of(features: DataFrame, columns: Sequence[str], cell: int = CELL) -> C
     laid = whole.withColumn("code", code).repartitionByRange(partitions, *order).sortWithinPartitions(*order)
     path = new_path(features.sparkSession, "cells")
     laid.select(*names).mapInArrow(gather, schema).write.parquet(path)
-    return Cells(features.sparkSession.read.schema(schema).parquet(path), scale, axes)
+    return Cells(features.sparkSession.read.schema(schema).parquet(path), scale, axes, partitions)
 
 
 class _Block(NamedTuple):
@@ -221,7 +229,8 @@ class _Sums:
 def _summed(cells: Cells, clusters: int, width: int, run) -> np.ndarray:
     """``run(block, sums)`` over all cells; the sums of each cluster, (clusters, width) whole numbers.
 
-    One row for each cluster comes from each task, and one from the aggregation.
+    A task has one row for each cluster; so has the aggregation, or the driver gets those of
+    ``FEW_TASKS`` tasks at most.
     """
     names = ["cluster", *[f"{half}_{i}" for i in range(width) for half in ("high", "low")]]
     schema = T.StructType(
@@ -236,16 +245,13 @@ def _summed(cells: Cells, clusters: int, width: int, run) -> np.ndarray:
                 run(block, sums)
         yield sums.batch(names)
 
-    rows = (
-        cells.table.mapInArrow(task, schema)
-        .groupBy("cluster")
-        .agg(*[F.sum(name).alias(name) for name in names[1:]])
-        .collect()
-    )
+    rows = cells.table.mapInArrow(task, schema)
+    if cells.tasks > FEW_TASKS:
+        rows = rows.groupBy("cluster").agg(*[F.sum(name).alias(name) for name in names[1:]])
     out = np.zeros((clusters, width), object)
-    for row in rows:
+    for row in rows.collect():
         for i in range(width):
-            out[row["cluster"], i] = (row[f"high_{i}"] << 32) + row[f"low_{i}"]
+            out[row["cluster"], i] += (row[f"high_{i}"] << 32) + row[f"low_{i}"]
     return out
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.operators.lloyd import finite, morton_code
+from tillroll.operators.lloyd import finite, morton_code, ranges_of
 from tillroll.operators.rfm import SCALED
 from tillroll.session import new_path
 
@@ -49,8 +49,9 @@ def _leaves(points: DataFrame, axes: int, key: T.DataType, leaf: int) -> DataFra
     """(label, id, keys, points, n, sums, square, middle, radius): the leaves of each label's points,
     numbered from 0 in Morton order."""
     names = [f"x{i}" for i in range(axes)]
-    code = morton_code(points, names)
-    partitions = max(1, -(-points.count() // POINTS_PER_PARTITION))
+    n, ranges = ranges_of(points, names)
+    code = morton_code(names, ranges)
+    partitions = max(1, -(-n // POINTS_PER_PARTITION))
     order = ["label", "code", *names]
     schema = T.StructType(
         [
