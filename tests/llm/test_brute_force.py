@@ -244,7 +244,8 @@ def test_fused_posterior_of_every_page(spark, sf, docs):
     assert Counter((r.page_id, r.lang, round(r.probability, 6)) for r in got) == expected
 
 
-def test_more_languages_than_a_model_may_have(spark, sf, docs):
+def test_more_languages_than_a_model_may_have(spark, sf, docs, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 50)
     many = docs.withColumn("lang", F.concat(F.lit("l"), F.col("doc_id")))
     with pytest.raises(ValueError, match="languages"):
         language_id.identify(spark.read.parquet(f"{sf}/pages.parquet"), many)
