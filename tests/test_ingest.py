@@ -233,3 +233,43 @@ def test_day_ranges_are_whole_days_and_prune_months(spark):
     assert tables.outside(rows, "2010-02-01", "2010-02-03").count() == 58
     plan = tables.in_days(stored, "2010-02-01", "2010-02-03")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(invoice_month" in plan
+
+
+ROW = "1,A,d,1,2009-12-01 07:45:00,1.0,7,UK"
+PLAIN = [ROW, '2,B,"a ""b"", c",2,2009-12-01,1.0,7,"UK"', "", '"3",,"",x,never,1.0,7', "4,B,d'e,1,2009-12-01,1.0,7,UK,more"]
+
+
+@pytest.mark.parametrize(
+    ("lines", "end", "split"),
+    [
+        (PLAIN, "\n", True),
+        (PLAIN, "\r\n", True),
+        ([*PLAIN, '5,B,"two', 'lines",1,2009-12-01,1.0,7,UK'], "\n", False),
+        ([*PLAIN, '5,B,12" RULER,1,2009-12-01,1.0,7,UK'], "\n", False),
+        ([*PLAIN, '5,B,a"b,"open', 'end",1,2009-12-01,1.0,7,UK'], "\n", False),
+        ([*PLAIN, "  ", ROW], "\n", False),
+        ([*PLAIN, "5,B,a\rb,1,2009-12-01,1.0,7,UK"], "\n", False),
+        ([*PLAIN, ROW + "\r", ROW], "\n", False),
+        ([], "\n", True),
+    ],
+)
+def test_files_are_split_only_where_the_rows_are_the_same(spark, tmp_path, lines, end, split):
+    path = tmp_path / "raw.csv"
+    path.write_bytes(end.join((HEADER, *lines)).encode("latin-1"))
+    assert ri.rows_end_at_lines(spark, str(path)) == split
+    read = [
+        sorted(map(str, ri.read_raw_csv(spark, str(path), multiline=how, malformed="m").collect()))
+        for how in (None, True)
+    ]
+    assert read[0] == read[1]
+
+
+def test_a_large_file_is_read_by_many_tasks(spark, tmp_path):
+    path = write(tmp_path, *[ROW] * 20_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        assert ri.read_raw_csv(spark, path).rdd.getNumPartitions() > 4
+        assert ri.read_raw_csv(spark, path, multiline=True).rdd.getNumPartitions() == 1
+        assert ri.read_raw_csv(spark, path).count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

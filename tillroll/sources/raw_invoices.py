@@ -62,24 +62,53 @@ _SLASH_DATE = (
 _PIVOT_YEAR = 69
 
 
+# A quoted field, whole: in a record that is all on one line no other quotes are left.
+_QUOTED = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
+
+
+def rows_end_at_lines(spark: SparkSession, path: str) -> bool:
+    """Whether every record of the files stands on one line, so that a file can be split at line ends.
+
+    One pass over the lines, without parsing: there must be no quote outside of fields that a line
+    quotes whole, no line of white space only, and line ends of one kind in each file (the last line
+    may have none).
+    """
+    lines = spark.read.option("lineSep", "\n").text(path)
+    line = F.regexp_replace("value", "\r$", "")
+    odd = (
+        F.regexp_replace(line, _QUOTED, "$1").contains('"')
+        | line.contains("\r")
+        | ((F.trim(line) == "") & (line != ""))
+    )
+    returns = F.col("value").endswith("\r")
+    files = lines.groupBy(F.input_file_name().alias("file")).agg(
+        F.count_if(odd).alias("odd"), F.count_if(returns).alias("crlf"), F.count_if(~returns).alias("lf")
+    )
+    mixed = (F.col("crlf") > 0) & (F.col("lf") > 1)
+    return files.filter((F.col("odd") > 0) | mixed).isEmpty()
+
+
 def read_raw_csv(
     spark: SparkSession,
     path: str,
     columns: Mapping[str, str] = SOURCE_COLUMNS,
     encoding: str = SOURCE_ENCODING,
-    multiline: bool = True,
+    multiline: bool | None = None,
     malformed: str | None = None,
 ) -> DataFrame:
     """All columns as text, located by header name. Types come later, so no inference pass.
 
-    A quote inside a quoted text is doubled. With ``multiline`` a quoted text may hold line ends, and
-    files are read side by side, each whole. Without, rows end at line ends, so that one huge file
-    splits; a record that then lacks fields, as one cut inside quotes does, is an error. Files whose
+    A quote inside a quoted text is doubled, and a quoted text may hold line ends. If a first pass over
+    the lines finds that none does, large files are split at line ends; else each file is read whole,
+    by one task. The rows are the same. ``multiline`` says which, without that pass; rows that are said
+    to end at line ends but lack fields, as one cut inside quotes does, are then an error. Files whose
     headers differ from the first one's are an error as well. ``malformed`` names a column to add: the
     whole record where it has more or fewer fields than the header, else null.
     """
     options = {"header": True, "encoding": encoding, "escape": '"', "enforceSchema": False}
-    mode = "PERMISSIVE" if multiline else "FAILFAST"
+    mode = "FAILFAST" if multiline is False else "PERMISSIVE"
+    if multiline is None:
+        multiline = not rows_end_at_lines(spark, path)
     reader = spark.read.options(**options, multiLine=multiline, mode=mode)
     raw = reader.csv(path)
     if malformed is None:
