@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from threading import Lock
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.flags import with_flags
@@ -26,6 +26,12 @@ _PLANTED_CODES = {0: "POST", 1: "M", 2: "m", 3: "DOT", 4: "BANK CHARGES"}
 # Fixed value: sales above this line value stand in for the flagged ones.
 _UNUSUAL_VALUE = 103000
 
+# The keys that make a line's id, after the order, and the factor that makes room for each.
+_ID_PARTS = {"l_linenumber": 8, "l_partkey": 32768, "l_suppkey": 1024, "cents_of_id": 100000}
+
+# Room for the lines of one order, where ids are numbered within orders.
+_LINES_OF_ORDER = 1 << 20
+
 _stored: dict[tuple[str, str, str], DataFrame] = {}
 _storing = Lock()
 
@@ -34,20 +40,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_line_id(lines: DataFrame) -> DataFrame:
+    """Lines with ``line_id``: equal for equal keys, null where a key is null.
+
+    The id is all keys as one number. Where a line's number is beyond a bigint, as in tables of more
+    than twice sf0.1, the ids of the table are the order's key and the line's place in the order instead.
+    """
+    lines = lines.withColumn("cents_of_id", F.col("cents") % 100000)
+    packed = F.col("l_orderkey")
+    for name, factor in _ID_PARTS.items():
+        packed = F.try_add(F.try_multiply(packed, F.lit(factor)), F.col(name))
+    keys = ["l_orderkey", *_ID_PARTS]
+    if lines.dropna(subset=keys).filter(packed.isNull()).isEmpty():
+        return lines.withColumn("line_id", packed).drop("cents_of_id")
+    # Partitioned as the join with the orders wants it, so the lines move once for both.
+    place = F.dense_rank().over(Window.partitionBy("l_orderkey").orderBy(*_ID_PARTS)).cast("long")
+    known = F.lit(True)
+    for name in keys:
+        known = known & F.col(name).isNotNull()
+    too_many = F.raise_error(F.lit(f"an order has {_LINES_OF_ORDER} or more different lines"))
+    return (
+        lines.withColumn("place", place)
+        .withColumn("place", F.when(F.col("place") < _LINES_OF_ORDER, F.col("place")).otherwise(too_many))
+        .withColumn("line_id", F.when(known, F.col("l_orderkey") * _LINES_OF_ORDER + F.col("place")))
+        .drop("cents_of_id", "place")
+    )
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoice lines from lineitem, orders, customer, nation and part."""
     line = F.col("l_linenumber")
     order, part = F.col("l_orderkey"), F.col("l_partkey")
+    line_items = table(spark, sf_dir, "lineitem").withColumn(
+        "cents", F.round(F.col("l_extendedprice") * 100).cast("long")
+    )
     rows = (
-        table(spark, sf_dir, "lineitem")
+        with_line_id(line_items)
         .join(table(spark, sf_dir, "orders"), F.col("o_orderkey") == order)
         .join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey"))
         .join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
         .join(table(spark, sf_dir, "part"), F.col("p_partkey") == part)
-        .withColumn("cents", F.round(F.col("l_extendedprice") * 100).cast("long"))
         .withColumn("q", F.col("l_quantity").cast("long"))
     )
-    row_id = (((order * 8 + line) * 32768 + part) * 1024 + F.col("l_suppkey")) * 100000
     returned = F.col("l_returnflag") == "R"
     prefix = F.when(
         returned & (line <= 2), F.when(order % 2 == 0, F.lit("C")).otherwise(F.lit("c"))
@@ -59,7 +93,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     unit_cents = F.expr("(cents - cents % q) div q").cast("decimal(20,0)")
     customer = F.col("o_custkey")
     lines = rows.select(
-        (row_id + F.col("cents") % 100000).alias("id"),
+        F.col("line_id").alias("id"),
         F.concat(prefix, (order + 500000).cast("string")).alias("invoice_no"),
         code.alias("stock_code"),
         F.when(part % 50 != 7, F.col("p_name")).alias("description"),
