@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date, datetime
 from uuid import uuid4
 
@@ -28,14 +29,24 @@ LEDGER_SCHEMA = StructType(
 )
 
 
-def append_facts(df: DataFrame, path: str, mode: str = "append") -> None:
+def append_facts(
+    df: DataFrame,
+    path: str,
+    mode: str = "append",
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
     """Append one load, in folders by invoice month. Loading twice stores the rows twice.
 
+    ``finish`` makes facts of rows that have reached their month, and keeps the month: what follows from
+    a row alone need not move with it.
+
     The rebalance hint gathers each month before the write, so that a task does not open a file
     for every month, and lets adaptive execution split a month that is too large for one task. Rows are
     ordered by date inside a file, which lets day ranges skip row groups too.
     """
     rows = df.withColumn(MONTH, F.trunc("invoice_date", "month")).hint("rebalance", MONTH)
+    if finish:
+        rows = finish(rows)
     (
         rows.sortWithinPartitions(MONTH, "invoice_date")
         .write.mode(mode)
@@ -44,6 +55,28 @@ def append_facts(df: DataFrame, path: str, mode: str = "append") -> None:
     )
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """In here a write frees its shuffle files when it ends, instead of whenever the driver collects its
+    garbage. Afterwards the session is set as before."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that was written for this application alone."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 class Versions:
     """The states of a table that is saved whole, each in a folder of its own under ``path``.
 

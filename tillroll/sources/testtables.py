@@ -8,6 +8,7 @@ so that queries read only the columns and months they need.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,7 +19,14 @@ from tillroll.operators.anomalies import sale_features
 from tillroll.operators.rfm import rfm
 from tillroll.operators.segments import SEGMENT_COLUMNS, label_segments
 from tillroll.session import new_path
-from tillroll.sources.tables import MONTH, append_facts, read_table, replace_table
+from tillroll.sources.tables import (
+    MONTH,
+    append_facts,
+    drop_folder,
+    read_table,
+    replace_table,
+    shuffles_freed,
+)
 
 # Codes planted for parts whose key leaves these remainders on division by 97.
 _PLANTED_CODES = {0: "POST", 1: "M", 2: "m", 3: "DOT", 4: "BANK CHARGES"}
@@ -40,23 +48,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def with_line_id(lines: DataFrame) -> DataFrame:
-    """Lines with ``line_id``: equal for equal keys, null where a key is null.
-
-    The id is all keys as one number. Where a line's number is beyond a bigint, as in tables of more
-    than twice sf0.1, the ids of the table are the order's key and the line's place in the order instead.
-    """
-    lines = lines.withColumn("cents_of_id", F.col("cents") % 100000)
+def _packed(lines: DataFrame) -> DataFrame:
+    """Lines with ``line_id``, all keys as one number: null where a key is null or it is beyond a bigint."""
     packed = F.col("l_orderkey")
     for name, factor in _ID_PARTS.items():
         packed = F.try_add(F.try_multiply(packed, F.lit(factor)), F.col(name))
-    keys = ["l_orderkey", *_ID_PARTS]
-    if lines.dropna(subset=keys).filter(packed.isNull()).isEmpty():
-        return lines.withColumn("line_id", packed).drop("cents_of_id")
+    return lines.withColumn("cents_of_id", F.col("cents") % 100000).withColumn("line_id", packed)
+
+
+def ids_fit(lines: DataFrame) -> bool:
+    """Whether the number that all keys make fits for every line, as in tables up to twice sf0.1."""
+    known = _packed(lines).dropna(subset=["l_orderkey", *_ID_PARTS])
+    return known.filter(F.col("line_id").isNull()).isEmpty()
+
+
+def with_line_id(lines: DataFrame, fit: bool | None = None) -> DataFrame:
+    """Lines with ``line_id``: equal for equal keys, null where a key is null.
+
+    The id is all keys as one number. Where that does not fit for every line of the table (``fit``), the
+    ids are the order's key and the line's place in the order instead.
+    """
+    lines, fit = _packed(lines), ids_fit(lines) if fit is None else fit
+    if fit:
+        return lines.drop("cents_of_id")
     # Partitioned as the join with the orders wants it, so the lines move once for both.
     place = F.dense_rank().over(Window.partitionBy("l_orderkey").orderBy(*_ID_PARTS)).cast("long")
     known = F.lit(True)
-    for name in keys:
+    for name in ("l_orderkey", *_ID_PARTS):
         known = known & F.col(name).isNotNull()
     too_many = F.raise_error(F.lit(f"an order has {_LINES_OF_ORDER} or more different lines"))
     return (
@@ -67,22 +85,53 @@ def with_line_id(lines: DataFrame) -> DataFrame:
     )
 
 
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        (F.col("l_returnflag") == "R").alias("returned"),
+        F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"),
+        F.col("l_quantity").cast("long").alias("q"),
+    )
+
+
+def with_parts(lines: DataFrame, sf_dir: str) -> DataFrame:
+    parts = table(lines.sparkSession, sf_dir, "part").select("p_partkey", "p_name")
+    return lines.join(parts, F.col("p_partkey") == F.col("l_partkey")).drop("p_partkey")
+
+
+def with_orders(lines: DataFrame, sf_dir: str, fit: bool) -> DataFrame:
+    """Lines with ids, orders, customers and nations. Orders meet customers first: they are fewer."""
+    orders, customers, nations = (
+        table(lines.sparkSession, sf_dir, name) for name in ("orders", "customer", "nation")
+    )
+    placed = (
+        orders.join(customers, F.col("c_custkey") == F.col("o_custkey"))
+        .join(nations, F.col("n_nationkey") == F.col("c_nationkey"))
+        .select("o_orderkey", "o_custkey", "o_orderdate", "n_name")
+    )
+    lines = with_line_id(lines, fit).drop("l_suppkey")
+    hour = (F.col("l_orderkey") % 24).cast("int")
+    return (
+        lines.join(placed, F.col("o_orderkey") == F.col("l_orderkey"))
+        .withColumn("invoice_date", F.timestamp_add("HOUR", hour, "o_orderdate"))
+        .drop("o_orderkey", "o_orderdate")
+    )
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoice lines from lineitem, orders, customer, nation and part."""
+    lines = order_lines(spark, sf_dir)
+    return invoice_lines(with_orders(with_parts(lines, sf_dir), sf_dir, ids_fit(lines)))
+
+
+def invoice_lines(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Transactions with all kinds of defects, of order lines with names. ``keep``: further columns."""
     line = F.col("l_linenumber")
     order, part = F.col("l_orderkey"), F.col("l_partkey")
-    line_items = table(spark, sf_dir, "lineitem").withColumn(
-        "cents", F.round(F.col("l_extendedprice") * 100).cast("long")
-    )
-    rows = (
-        with_line_id(line_items)
-        .join(table(spark, sf_dir, "orders"), F.col("o_orderkey") == order)
-        .join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey"))
-        .join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
-        .join(table(spark, sf_dir, "part"), F.col("p_partkey") == part)
-        .withColumn("q", F.col("l_quantity").cast("long"))
-    )
-    returned = F.col("l_returnflag") == "R"
+    returned = F.col("returned")
     prefix = F.when(
         returned & (line <= 2), F.when(order % 2 == 0, F.lit("C")).otherwise(F.lit("c"))
     ).otherwise(F.lit(""))
@@ -98,13 +147,14 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         code.alias("stock_code"),
         F.when(part % 50 != 7, F.col("p_name")).alias("description"),
         F.when(negative, -F.col("q")).otherwise(F.col("q")).cast("int").alias("quantity"),
-        F.timestamp_add("HOUR", (order % 24).cast("int"), "o_orderdate").alias("invoice_date"),
+        "invoice_date",
         F.when((order + line) % 150 == 0, F.lit(0))
         .otherwise(unit_cents * F.lit("0.01").cast("decimal(3,2)"))
         .cast("decimal(10,2)")
         .alias("unit_price"),
         F.when(customer % 5 != 0, customer).cast("int").alias("customer_id"),
         F.when(customer % 211 != 1, F.col("n_name")).alias("country"),
+        *keep,
     )
     # Some rows occur twice; the second copy goes by the negated id.
     copies = F.when(F.col("id") % 503 == 3, F.array(F.lit(1), F.lit(-1))).otherwise(
@@ -128,12 +178,25 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write) -> DataFrame:
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagged fact table, stored in folders by month."""
-    return _once(
-        spark,
-        sf_dir,
-        "transactions",
-        lambda path: append_facts(with_flags(transactions(spark, sf_dir)), path),
-    )
+
+    def flagged_lines(rows: DataFrame) -> DataFrame:
+        return with_flags(invoice_lines(rows, [MONTH]))
+
+    def write(path: str) -> None:
+        # A step at a time, so that its shuffle files go before those of the next are written. Orders come
+        # last: their lines then lie together, which makes the move to the months smaller.
+        lines = order_lines(spark, sf_dir)
+        named, placed = new_path(spark, "named-lines"), new_path(spark, "placed-lines")
+        with shuffles_freed(spark):
+            with_parts(lines, sf_dir).write.parquet(named, compression="zstd")
+            with_orders(spark.read.parquet(named), sf_dir, ids_fit(lines)).write.parquet(
+                placed, compression="zstd"
+            )
+            drop_folder(spark, named)
+            append_facts(spark.read.parquet(placed), path, finish=flagged_lines)
+            drop_folder(spark, placed)
+
+    return _once(spark, sf_dir, "transactions", write)
 
 
 def clusters_by_rule(customers: DataFrame) -> DataFrame:
