@@ -107,6 +107,7 @@ PLACED = (
 LIKE_SQL = [
     "a11_customer_concentration",
     "a1_sale_features",
+    "a2_log_features",
 ]
 LIKE_FITS = []
 
