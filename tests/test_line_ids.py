@@ -109,7 +109,9 @@ LIKE_SQL = [
     "a1_sale_features",
     "a2_log_features",
 ]
-LIKE_FITS = []
+LIKE_FITS = [
+    "a3_isolation_forest",
+]
 
 
 @pytest.mark.parametrize("name", LIKE_SQL)
