@@ -109,6 +109,7 @@ LIKE_SQL = [
     "a1_sale_features",
     "a2_log_features",
     "a5_flag_top_share",
+    "a6_top_anomalies",
 ]
 LIKE_FITS = [
     "a3_isolation_forest",
