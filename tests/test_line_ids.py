@@ -110,6 +110,7 @@ LIKE_SQL = [
     "a2_log_features",
     "a5_flag_top_share",
     "a6_top_anomalies",
+    "a7_score_table",
 ]
 LIKE_FITS = [
     "a3_isolation_forest",
