@@ -112,6 +112,7 @@ LIKE_SQL = [
     "a6_top_anomalies",
     "a7_score_table",
     "a8_flagged_detail",
+    "a9_anomaly_overview",
 ]
 LIKE_FITS = [
     "a3_isolation_forest",
