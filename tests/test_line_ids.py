@@ -113,6 +113,7 @@ LIKE_SQL = [
     "a7_score_table",
     "a8_flagged_detail",
     "a9_anomaly_overview",
+    "d1_daily_revenue",
 ]
 LIKE_FITS = [
     "a3_isolation_forest",
