@@ -114,6 +114,7 @@ LIKE_SQL = [
     "a8_flagged_detail",
     "a9_anomaly_overview",
     "d1_daily_revenue",
+    "d2_top_products",
 ]
 LIKE_FITS = [
     "a3_isolation_forest",
