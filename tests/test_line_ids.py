@@ -118,6 +118,7 @@ LIKE_SQL = [
     "d3_monthly_revenue",
     "d4_headline_figures",
     "d5_sliced_daily_revenue",
+    "d5_sliced_headline_figures",
 ]
 LIKE_FITS = [
     "a3_isolation_forest",
