@@ -119,6 +119,7 @@ LIKE_SQL = [
     "d4_headline_figures",
     "d5_sliced_daily_revenue",
     "d5_sliced_headline_figures",
+    "d5_sliced_monthly_revenue",
 ]
 LIKE_FITS = [
     "a3_isolation_forest",
