@@ -120,6 +120,7 @@ LIKE_SQL = [
     "d5_sliced_daily_revenue",
     "d5_sliced_headline_figures",
     "d5_sliced_monthly_revenue",
+    "d5_sliced_top_products",
 ]
 LIKE_FITS = [
     "a3_isolation_forest",
