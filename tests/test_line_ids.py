@@ -121,6 +121,7 @@ LIKE_SQL = [
     "d5_sliced_headline_figures",
     "d5_sliced_monthly_revenue",
     "d5_sliced_top_products",
+    "f1_is_cancellation",
 ]
 LIKE_FITS = [
     "a3_isolation_forest",
