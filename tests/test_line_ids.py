@@ -122,6 +122,7 @@ LIKE_SQL = [
     "d5_sliced_monthly_revenue",
     "d5_sliced_top_products",
     "f1_is_cancellation",
+    "f2_is_missing_customer",
 ]
 LIKE_FITS = [
     "a3_isolation_forest",
