@@ -123,6 +123,7 @@ LIKE_SQL = [
     "d5_sliced_top_products",
     "f1_is_cancellation",
     "f2_is_missing_customer",
+    "f3_is_return",
 ]
 LIKE_FITS = [
     "a3_isolation_forest",
