@@ -124,6 +124,7 @@ LIKE_SQL = [
     "f1_is_cancellation",
     "f2_is_missing_customer",
     "f3_is_return",
+    "f5_is_non_product",
 ]
 LIKE_FITS = [
     "a3_isolation_forest",
