@@ -2,28 +2,46 @@
 
 from __future__ import annotations
 
+import math
 import sys
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
+import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from tillroll.operators.lloyd import Model, cells_of, cheapest, fit_models, squared_silhouettes
+from pyspark.sql import types as T
+
+from tillroll.operators.distance_sums import distance_sums
+from tillroll.operators.lloyd import (
+    Model,
+    cells_of,
+    cheapest,
+    finite,
+    fit_models,
+    morton_code,
+    ranges_of,
+    squared_silhouettes,
+)
 from tillroll.operators.rfm import SCALED
 from tillroll.operators.silhouette import silhouette_within
+from tillroll.session import new_path
 
 # Executors need not have this package: its functions travel to them by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS_PER_PARTITION = 500_000
 
-# Points to a block of the exact silhouette.
+# Points to a block of the exact silhouette, at most.
 BLOCK = 2_048
+# Groups of points whose pairs are its tasks: the root of the points over this, so that what moves between
+# tasks and what a task holds both grow with the points times their root.
+GROUPS = 50
+# Sums that a task holds for a group, at most.
+SUMS = 1 << 23
 
 
 def feature_vectors(
@@ -114,65 +132,184 @@ def euclidean_silhouette(
 ) -> DataFrame:
     """Silhouette of every point on Euclidean distance (Rousseeuw 1987): (key, label, silhouette).
 
-    Exact at every size, and so quadratic: each point's distances to all points are summed. Points are
-    dealt into blocks of about ``block``; each pair of blocks is one small task that hands on a sum and
-    a count for each of its points and each cluster. Ask for it where that time is to be had;
-    ``silhouette_within`` has a stated error instead, and the squared silhouette is linear.
+    Every point's distances to all points are summed, at every size, to the rounding of the sums
+    (``distance_sums``). Points near each other are laid together, in blocks of at most ``block`` and
+    groups of blocks; each pair of groups is one task, which hands on a sum for each of its points and
+    each cluster. A point with a NaN or a null coordinate is NaN away from all. Rows without a label
+    have silhouette 0 and are in no cluster.
     """
-    names = list(columns)
-    blocks = max(1, -(-features.count() // block))
+    spark = features.sparkSession
+    names = [f"x{i}" for i in range(len(columns))]
+    own_key, own_label = features.schema[key].dataType, features.schema[label].dataType
+    nowhere = F.lit(math.nan)
     points = features.select(
-        key,
-        label,
-        *[F.col(name).cast("double").alias(name) for name in names],
-        F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("__block"),
+        F.col(key).alias("key"),
+        F.col(label).alias("label"),
+        *[F.coalesce(F.col(name).cast("double"), nowhere).alias(x) for name, x in zip(columns, names)],
     )
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    here = points.select("*", every.alias("__other"))
-    there = points.withColumnRenamed("__block", "__other").select("*", every.alias("__block"))
-    fields = features.select(key, label).schema
-    kinds = [fields[name].dataType.simpleString() for name in (key, label)]
-    out = f"{key} {kinds[0]}, {label} {kinds[1]}, other {kinds[1]}, total double, points long"
-
-    def distances(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        mine = left[names].to_numpy(float)
-        parts = []
-        for other, group in right.groupby(label):
-            sums = _distance_sums(mine, group[names].to_numpy(float))
-            parts.append(
-                pd.DataFrame(
-                    {key: left[key], label: left[label], "other": other, "total": sums, "points": len(group)}
+    counted = points.groupBy("label").agg(F.count("*").alias("n")).filter(F.col("label").isNotNull())
+    # One row for each cluster.
+    counted = sorted((tuple(row) for row in counted.collect() if row["label"] == row["label"]), key=str)
+    sizes = np.array([n for _, n in counted], np.int64)
+    labels = len(sizes)
+    marks = F.array(*[F.lit(value).cast(own_label) for value, _ in counted])
+    mark = F.coalesce(F.array_position(marks, F.col("label")) - 1, F.lit(-1)) if labels else F.lit(-1)
+
+    placed, ranges = ranges_of(points.filter(finite(names)), names)
+    n = max(placed, int(sizes.sum()))
+    cores = spark.sparkContext.defaultParallelism
+    groups = max(math.sqrt(n) / GROUPS, math.sqrt(8 * cores), n * labels / SUMS)
+    groups = max(1, min(math.ceil(groups), -(-n // (4 * block))))
+    blocks = _blocks_of(points.withColumn("mark", mark.cast("int")), names, ranges, groups, block)
+    # The blocks came in as many tasks as groups were asked for, about equal; one row for each.
+    tasks = blocks.groupBy("task").agg(F.sum(F.size("marks")).alias("n")).orderBy("task").collect()
+    group_of = {row["task"]: i for i, row in enumerate(tasks)}
+    groups = len(tasks)
+    if not groups or not labels:
+        return points.limit(0).select(
+            F.col("key").alias(key), F.col("label").alias(label), F.lit(0.0).alias("silhouette")
+        )
+    group_of_task = F.array(*[F.lit(group_of.get(i, -1)) for i in range(max(group_of) + 1)])
+    own_group = F.element_at(group_of_task, F.col("task") + 1)
+
+    every = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    pairs = blocks.select("task", "nth", "marks", "places", own_group.alias("group"), every.alias("other"))
+    low, high = F.least("group", "other"), F.greatest("group", "other")
+    # Pairs have the numbers of a triangle's places, row by row.
+    before = F.floor((low * (2 * groups + 1) - low * low) / 2).cast("int")
+    pairs = pairs.withColumns({"same": low == high, "pair": before + high - low})
+    axes = len(names)
+
+    def sums_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for batch in batches for row in _rows_of(batch)]
+        if not rows:
+            return
+        rows.sort(key=lambda row: row[:3])
+        here = rows[0][0]
+        sides = [[row for row in rows if row[0] == here], [row for row in rows if row[0] != here]]
+        sides = sides[: 1 if rows[0][3] else 2]
+        totals = distance_sums(
+            [np.concatenate([row[5] for row in side]).reshape(-1, axes) for side in sides],
+            [np.concatenate([row[4] for row in side]) for side in sides],
+            labels,
+            block,
+        )
+        for side, total in zip(sides, totals, strict=True):
+            ends = np.cumsum([0, *[len(row[4]) for row in side]])
+            for row, a, b in zip(side, ends, ends[1:], strict=False):
+                values = pa.array(total[a:b].ravel())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([row[1]], pa.int32()),
+                        pa.array([row[2]], pa.int64()),
+                        pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values),
+                    ],
+                    names=["task", "nth", "sums"],
                 )
-            )
-        return pd.concat(parts) if parts else pd.DataFrame(columns=[key, label, "other", "total", "points"])
 
-    pair = ("__block", "__other")
+    moved = pairs.select("pair", "group", "task", "nth", "same", "marks", "places").repartitionById(
+        groups * (groups + 1) // 2, F.col("pair")
+    )
+    found = moved.drop("pair").mapInArrow(sums_of, "task int, nth bigint, sums array<double>")
+    out = T.StructType(
+        [
+            T.StructField("key", own_key),
+            T.StructField("label", own_label),
+            T.StructField("other", T.IntegerType()),
+            T.StructField("total", T.DoubleType()),
+            T.StructField("points", T.LongType()),
+        ]
+    )
+
+    def add_up(own: pa.Table, sums: pa.Table) -> pa.Table:
+        total = sum(one.values.to_numpy() for one in sums.column("sums"))
+        keys = own.column("keys").combine_chunks().flatten()
+        each = pa.array(np.repeat(np.arange(len(keys)), labels))
+        return pa.table(
+            [
+                keys.take(each),
+                own.column("labels").combine_chunks().flatten().take(each),
+                pa.array(np.tile(np.arange(labels, dtype=np.int32), len(keys))),
+                pa.array(total),
+                pa.array(np.tile(sizes, len(keys))),
+            ],
+            names=out.names,
+        )
+
+    block_id = ("task", "nth")
     sums = (
-        here.groupBy(*pair)
-        .cogroup(there.groupBy(*pair))
-        .applyInPandas(distances, out)
-        .groupBy(key, label, "other")
+        blocks.select(*block_id, "keys", "labels")
+        .groupBy(*block_id)
+        .cogroup(found.groupBy(*block_id))
+        .applyInArrow(add_up, out)
+        .withColumn("other", F.element_at(marks, F.col("other") + 1))
+        .groupBy("key", "label", "other")
         .agg(F.sum("total").alias("total"), F.sum("points").alias("points"))
     )
-    own = F.col("other") == F.col(label)
-    means = sums.groupBy(key, label).agg(
+    own = F.col("other") == F.col("label")
+    means = sums.groupBy("key", "label").agg(
         F.max(F.when(own & (F.col("points") > 1), F.col("total") / (F.col("points") - 1))).alias("inner"),
         F.min(F.when(~own, F.col("total") / F.col("points"))).alias("outer"),
     )
     value = F.try_divide(F.col("outer") - F.col("inner"), F.greatest("inner", "outer"))
     # A point alone in its cluster, or with no other cluster, has silhouette 0.
-    return means.select(key, label, F.coalesce(value, F.lit(0.0)).alias("silhouette"))
-
-
-def _distance_sums(here: np.ndarray, there: np.ndarray, block: int = 1024) -> np.ndarray:
-    """Sum of distances from each row of ``here`` to all rows of ``there``."""
-    sums = np.zeros(len(here))
-    for start in range(0, len(there), block):
-        squares = np.zeros((len(here), len(there[start : start + block])))
-        for axis in range(here.shape[1]):
-            squares += (here[:, axis, None] - there[None, start : start + block, axis]) ** 2
-        sums += np.sqrt(squares).sum(axis=1)
-    return sums
+    return means.select(
+        F.col("key").alias(key), F.col("label").alias(label), F.coalesce(value, F.lit(0.0)).alias("silhouette")
+    )
+
+
+def _rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(group, task, nth, same, marks, places) of each row."""
+    plain = [batch.column(name).to_pylist() for name in ("group", "task", "nth", "same")]
+    for i, row in enumerate(zip(*plain, strict=True)):
+        yield *row, batch.column("marks")[i].values.to_numpy(), batch.column("places")[i].values.to_numpy()
+
+
+def _blocks_of(
+    points: DataFrame, names: Sequence[str], ranges: Sequence[tuple[float, float]], tasks: int, block: int
+) -> DataFrame:
+    """(task, nth, keys, labels, marks, places): up to ``block`` points that follow each other in Morton
+    order, stored. Equal points are told apart by their keys, so that they fill several tasks too."""
+    order = [morton_code(names, ranges).alias("code"), *[F.col(x) for x in names], F.xxhash64("key").alias("hash")]
+    columns = ["key", "label", "mark", *names]
+    schema = T.StructType(
+        [
+            T.StructField("task", T.IntegerType()),
+            T.StructField("nth", T.LongType()),
+            T.StructField("keys", T.ArrayType(points.schema["key"].dataType)),
+            T.StructField("labels", T.ArrayType(points.schema["label"].dataType)),
+            T.StructField("marks", T.ArrayType(T.IntegerType())),
+            T.StructField("places", T.ArrayType(T.DoubleType())),
+        ]
+    )
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, nth = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            places = np.stack([batch.column(x).to_numpy() for x in names], axis=1)
+            edges = np.append(np.arange(0, batch.num_rows, block), batch.num_rows)
+            rows = pa.array(edges, pa.int32())
+            lists = [pa.ListArray.from_arrays(rows, batch.column(x)) for x in ("key", "label", "mark")]
+            count = len(edges) - 1
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([task] * count, pa.int32()),
+                    pa.array(range(nth, nth + count), pa.int64()),
+                    *lists,
+                    pa.ListArray.from_arrays(pa.array(edges * len(names), pa.int32()), pa.array(places.ravel())),
+                ],
+                names=schema.names,
+            )
+            nth += count
+
+    laid = points.select("*", order[0], order[-1])
+    order = ["code", *names, "hash"]
+    laid = laid.repartitionByRange(tasks, *order).sortWithinPartitions(*order).select(*columns)
+    path = new_path(points.sparkSession, "blocks")
+    laid.mapInArrow(gather, schema).write.parquet(path)
+    return points.sparkSession.read.schema(schema).parquet(path)
 
 
 def k_sweep(
