@@ -325,8 +325,7 @@ def k_sweep(
     All starts of all k are fitted together, in as many passes as the slowest takes, and measured in
     two more. Rows without a number in every coordinate are left out.
 
-    ``euclidean`` adds the silhouette on plain distance: exact, with time quadratic in the customers,
-    or within ``error`` of it.
+    ``euclidean`` adds the silhouette on plain distance: to the rounding of its sums, or within ``error``.
     """
     cells = cells_of(features, SCALED)
     models = cheapest(fit_models(features, list(k_range), starts, seed, "customer_id", SCALED, cells))
